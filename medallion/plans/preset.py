@@ -118,7 +118,8 @@ def trip_rules() -> dict[str, Column]:
     rules["dq_invalid_distance_outlier"] = F.col("trip_distance") > MAX_MILES
     rules["dq_invalid_fare_outlier"] = F.col("fare_amount") > MAX_FARE
     rules["dq_invalid_total_outlier"] = F.col("total_amount") > MAX_TOTAL
-    rules["dq_invalid_speed"] = speed.isNotNull() & ((speed < MIN_MPH) | (speed > MAX_MPH))
+    # An unknown speed breaks no rule.
+    rules["dq_invalid_speed"] = ~F.coalesce(speed.between(MIN_MPH, MAX_MPH), F.lit(True))
     return rules
 
 

@@ -58,11 +58,13 @@ FILE_MONTH = {
     " right(concat('0', cast(month(o_orderdate) as string)), 2))"
 }
 
+# Names come from the source key: key 6 borrows those of key 5.
+SOURCE_KEY = "case n_nationkey when 6 then 5 else n_nationkey end"
 ZONES = {
     "LocationID": "cast(n_nationkey as string)",
     "Borough": "case n_nationkey when 23 then 'N/A' when 24 then ''"
-    " else concat(' ', case n_nationkey when 6 then r5 else r_name end, ' ') end",
-    "Zone": "case n_nationkey when 6 then n5 else n_name end",
+    " else concat(' ', source_region, ' ') end",
+    "Zone": "source_name",
     "service_zone": "case n_nationkey when 22 then 'N/A'"
     " else concat('Zone ', cast(n_regionkey as string)) end",
 }
@@ -84,17 +86,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def trips(
     spark: SparkSession, sf_dir: str, expressions: dict[str, str] | None = None
 ) -> DataFrame:
-    """One raw trip per line of an order, plus copies of some."""
+    """One raw trip per line of an order, plus copies of some.
+
+    The columns come out of a generator, so that Catalyst treats them like those of a
+    file: filters and casts above do not repeat the expressions they are made of.
+    """
     copies = F.expr(
         "explode(case l_orderkey % 50 when 0 then array(0, 1) when 1 then array(0, 2)"
         " else array(0) end)"
     )
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
+    made = ", ".join(_columns(expressions or TRIPS))
     return (
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
         .withColumn("cp", copies)
-        .selectExpr(*_columns(expressions or TRIPS))
+        .selectExpr(f"inline(array(struct({made})))")
     )
 
 
@@ -102,15 +109,14 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw lookup row per nation, two of them sharing a name, plus two faulty rows."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    named = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
-    shared = named.agg(
-        F.max(F.when(F.col("n_nationkey") == 5, F.col("r_name"))).alias("r5"),
-        F.max(F.when(F.col("n_nationkey") == 5, F.col("n_name"))).alias("n5"),
-        F.lit(6).alias("shared_key"),
+    named = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
+        F.col("n_nationkey").alias("source_key"),
+        F.col("n_name").alias("source_name"),
+        F.col("r_name").alias("source_region"),
+    )
+    rows = nation.join(named, F.expr(SOURCE_KEY) == F.col("source_key")).selectExpr(
+        *_columns(ZONES)
     )
-    rows = named.join(
-        F.broadcast(shared), named["n_nationkey"] == shared["shared_key"], "left"
-    ).selectExpr(*_columns(ZONES))
     for key, values in ZONES_EXTRA.items():
         extra = nation.filter(F.col("n_nationkey") == key)
         rows = rows.unionByName(extra.selectExpr(*_columns(dict(zip(ZONES, values)))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from verification.fixtures import FILE_MONTH, TRIPS, TRIPS_TEXT, ZONES, ZONES_EXTRA
+from verification.fixtures import FILE_MONTH, SOURCE_KEY, TRIPS, TRIPS_TEXT, ZONES, ZONES_EXTRA
 
 
 def _select(expressions: dict[str, str]) -> str:
@@ -21,14 +21,18 @@ def _raw_trips(expressions: dict[str, str]) -> str:
 
 RAW_ZONES = f"""
   SELECT {_select(ZONES)}
-  FROM nation JOIN region ON n_regionkey = r_regionkey
-  CROSS JOIN (SELECT r_name AS r5, n_name AS n5 FROM nation JOIN region
-              ON n_regionkey = r_regionkey WHERE n_nationkey = 5) shared
+  FROM nation JOIN (
+    SELECT n_nationkey AS source_key, n_name AS source_name, r_name AS source_region
+    FROM nation JOIN region ON n_regionkey = r_regionkey) named ON {SOURCE_KEY} = source_key
 """ + "".join(
     f"  UNION ALL SELECT {', '.join(values)} FROM nation WHERE n_nationkey = {key}\n"
     for key, values in ZONES_EXTRA.items()
 )
 
+# A Spark CSV scan with default options reads an empty field as NULL, quoted or not.
+RAW_ZONES_CSV = f"""
+  SELECT {', '.join(f"nullif({c}, '') AS {c}" for c in ZONES)} FROM ({RAW_ZONES}) z"""
+
 ZONES_CLEAN = """
   SELECT location_id,
     CASE WHEN borough IN ('Unknown', 'N/A', '') THEN 'Unknown' ELSE borough END AS borough,
@@ -396,7 +400,7 @@ ORACLE: dict[str, str] = {
     "check_hourly_demand": _with(f"SELECT * FROM mart_hourly_demand WHERE {HOUR_OFFENDS}"),
     "run_checks": _with(_checks()),
     "month_scan": _with("SELECT * FROM raw_trips"),
-    "lookup_csv": _with("SELECT * FROM raw_zones"),
+    "lookup_csv": _with("SELECT * FROM raw_zones", raw_zones=RAW_ZONES_CSV),
     "input_coverage": f"""WITH months AS (
   SELECT strftime(unnest(generate_series(
     (SELECT date_trunc('month', min(o_orderdate)) FROM orders),
@@ -405,5 +409,5 @@ delivered AS (SELECT DISTINCT {FILE_MONTH['file_month']} AS month
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
 SELECT month, month IN (SELECT month FROM delivered)
   AND month < (SELECT max(month) FROM months) AS found FROM months""",
-    "publish_reload": _with(_counts(PUBLISHED)),
+    "publish_reload": _with(_counts(PUBLISHED), raw_zones=RAW_ZONES_CSV),
 }
