@@ -1,0 +1,124 @@
+import datetime as dt
+import math
+
+from pyspark.sql import functions as F
+
+from medallion.functions import canonicalise, repeatable_avg, repeatable_sum, type_columns
+from medallion.plans import models
+
+
+def column(df, name):
+    return [row[name] for row in df.collect()]
+
+
+def test_unusable_values_become_null(spark):
+    df = spark.createDataFrame(
+        [("1", "5.0", "2025-01-01 10:00:00"), ("x", "3000000000", "bad"), (None, "nan", "")],
+        "a string, b string, c string",
+    )
+    typed = type_columns(df, {"a": "int", "b": "int", "c": "timestamp"})
+    assert [tuple(r) for r in typed.collect()] == [
+        (1, 5, dt.datetime(2025, 1, 1, 10)),
+        (None, None, None),
+        (None, None, None),
+    ]
+
+
+def test_doubles_are_cut_and_overflow_is_null(spark):
+    df = spark.createDataFrame([(1.9,), (-1.9,), (3e9,), (math.nan,)], "x double")
+    assert column(type_columns(df, {"x": "int"}), "x") == [1, -1, None, None]
+
+
+def test_bigint_text_keeps_all_digits(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("7.0",)], "x string")
+    assert column(type_columns(df, {"x": "bigint"}), "x") == [9007199254740993, 7]
+
+
+def test_canonicalise_is_exact(spark):
+    df = spark.createDataFrame([(v,) for v in ["N/A", "Unknown", "", "unknown", None]], "b string")
+    assert column(canonicalise(df, ["b"], ["Unknown", "N/A", ""], "Unknown"), "b") == [
+        "Unknown",
+        "Unknown",
+        "Unknown",
+        "unknown",
+        None,
+    ]
+
+
+def test_duration_uses_whole_seconds_of_each_side(make_trips):
+    at = lambda h, m, s, us=0: dt.datetime(2025, 1, 5, h, m, s, us)
+    df = models.add_duration(
+        models.type_trips(
+            make_trips(
+                {
+                    "tpep_pickup_datetime": at(10, 0, 0, 900_000),
+                    "tpep_dropoff_datetime": at(10, 1, 0, 100_000),
+                },
+                {"tpep_dropoff_datetime": at(9, 0, 0)},
+                {"tpep_dropoff_datetime": None},
+            )
+        )
+    )
+    assert column(df, "trip_duration_min") == [1.0, -60.0, None]
+    assert column(df, "trip_hours") == [1.0 / 60, -1.0, None]
+
+
+def test_calendar_and_ratios(make_trips):
+    row = models.derive_trips(models.type_trips(make_trips({}))).first()
+    assert (row.pickup_date, row.pickup_weekday) == (dt.date(2025, 1, 5), "Sun")
+    assert (row.pickup_year, row.pickup_month, row.pickup_day, row.pickup_hour) == (2025, 1, 5, 10)
+    assert abs(row.trip_speed_mph - 12.0) < 1e-9 and row.fare_per_mile == 5.0
+
+
+def test_ratios_are_null_without_positive_denominator(make_trips):
+    changes = {"trip_distance": 0.0, "tpep_dropoff_datetime": dt.datetime(2025, 1, 5, 9)}
+    row = models.derive_trips(models.type_trips(make_trips(changes))).first()
+    assert row.trip_speed_mph is None and row.fare_per_mile is None
+
+
+def test_labels(make_trips):
+    codes = [0, 1, 2, 3, 4, 5, 6, 7, None]
+    rates = [None if c is None else float(c) for c in codes]
+    changes = [{"payment_type": c, "RatecodeID": r} for c, r in zip(codes, rates)]
+    df = models.type_trips(make_trips(*changes))
+    payments = column(df.select(models.payment_label().alias("x")), "x")
+    assert payments == ["Other", "Credit card", "Cash", "No charge", "Dispute", "Unknown",
+                        "Voided trip", "Other", "Other"]
+    rates = column(df.select(models.rate_label().alias("x")), "x")
+    assert rates == ["Unknown", "Standard rate", "JFK", "Newark", "Nassau/Westchester",
+                     "Negotiated fare", "Group ride", "Unknown", "Unknown"]
+
+
+def test_store_flag(make_trips):
+    df = models.type_trips(make_trips(*[{"store_and_fwd_flag": f} for f in [" y ", "N", "", None]]))
+    assert column(df.select(models.store_label().alias("x")), "x") == ["Y", "N", "Unknown", "Unknown"]
+
+
+def test_airport_flag_is_never_null(make_trips):
+    cases = [(2.0, 0.0), (3.0, None), (None, None), (None, 0.01), (1.0, 0.0), (1.0, None)]
+    df = models.type_trips(make_trips(*[{"RatecodeID": r, "Airport_fee": f} for r, f in cases]))
+    flags = column(df.select(models.airport_flag().alias("x")), "x")
+    assert flags == [True, True, False, True, False, False]
+
+
+def test_unknown_columns_pass_through_in_order(make_trips):
+    raw = make_trips({}).withColumn("other", F.lit("kept"))
+    assert models.type_trips(raw).columns == raw.columns
+
+
+def test_sum_is_the_same_in_any_order_and_loses_nothing(spark):
+    values = [(i * 0.1,) for i in range(2000)] + [(None,)]
+    df = spark.createDataFrame(values, "x double")
+    sums = {
+        df.repartition(n).agg(repeatable_sum(F.col("x")).alias("s")).first().s for n in (1, 3, 7)
+    }
+    assert sums == {199900.0}
+    big = spark.createDataFrame([(1e15,), (1.5,)], "x double")
+    assert big.agg(repeatable_sum(F.col("x")).alias("s")).first().s == 1e15 + 1.5
+    assert big.agg(repeatable_avg(F.col("x")).alias("a")).first().a == (1e15 + 1.5) / 2
+    none = df.filter("x is null").agg(
+        repeatable_sum(F.col("x")).alias("s"), repeatable_avg(F.col("x")).alias("a")
+    )
+    assert tuple(none.first()) == (None, None)
+    odd = spark.createDataFrame([(math.nan,), (1.0,)], "x double")
+    assert math.isnan(odd.agg(repeatable_sum(F.col("x")).alias("s")).first().s)

@@ -1,0 +1,100 @@
+import datetime as dt
+import math
+
+import pytest
+
+from medallion.operators.quality import (
+    NoValidRows,
+    dq_gate,
+    dq_summary,
+    flag_quality,
+    reconcile,
+    require_valid,
+)
+from medallion.plans import models, preset
+
+START = dt.datetime(2025, 1, 5, 10)
+
+
+def lasting(minutes: float, miles: float) -> dict:
+    return {"tpep_dropoff_datetime": START + dt.timedelta(minutes=minutes), "trip_distance": miles}
+
+
+# change -> flags that must be true; the trip is valid when there is none.
+CASES = [
+    ({}, set()),
+    *[({column: None}, {flag}) for flag, column in preset.MISSING_RULES.items()],
+    ({column: None for column in preset.MISSING_RULES.values()}, set(preset.MISSING_RULES)),
+    (lasting(0, 4.0), {"dq_invalid_duration"}),
+    (lasting(300, 40.0), set()),
+    (lasting(300 + 1 / 60, 40.0), {"dq_invalid_duration"}),
+    (lasting(-10, 4.0), {"dq_invalid_duration"}),
+    ({"trip_distance": 0.0}, {"dq_invalid_trip_distance", "dq_invalid_speed"}),
+    (lasting(120, 100.0), set()),
+    (lasting(120, 100.01), {"dq_invalid_distance_outlier"}),
+    ({"trip_distance": math.nan}, {"dq_invalid_distance_outlier", "dq_invalid_speed"}),
+    ({"fare_amount": -0.01}, {"dq_invalid_fare_amount"}),
+    ({"fare_amount": 0.0}, set()),
+    ({"fare_amount": 500.0}, set()),
+    ({"fare_amount": 500.01}, {"dq_invalid_fare_outlier"}),
+    ({"total_amount": -0.01}, {"dq_invalid_total_amount"}),
+    ({"total_amount": 0.0}, set()),
+    ({"total_amount": 600.0}, set()),
+    ({"total_amount": 600.01}, {"dq_invalid_total_outlier"}),
+    ({"passenger_count": 0.0}, {"dq_invalid_passenger_count"}),
+    (lasting(60, 0.99), {"dq_invalid_speed"}),
+    (lasting(60, 1.0), set()),
+    (lasting(60, 80.0), set()),
+    (lasting(60, 80.01), {"dq_invalid_speed"}),
+    ({"tip_amount": -1.0}, set()),
+    ({"PULocationID": 9999}, set()),
+]
+
+
+def test_every_rule_at_its_boundary(make_trips):
+    # The fee is not part of the trip key and passes through, so it can name the case.
+    raw = make_trips(*[{**change, "cbd_congestion_fee": float(i)} for i, (change, _) in enumerate(CASES)])
+    flagged = flag_quality(models.derive_trips(models.type_trips(raw)), preset.trip_rules())
+    rows = {int(row.cbd_congestion_fee): row for row in flagged.collect()}
+    for i, (change, expected) in enumerate(CASES):
+        true = {flag for flag in preset.TRIP_FLAGS if rows[i][flag]}
+        assert true == expected, change
+        assert rows[i][preset.VALID] is (not expected), change
+
+
+def test_flags_stay_null_where_undecided(make_trips):
+    raw = make_trips({"trip_distance": None})
+    row = flag_quality(models.derive_trips(models.type_trips(raw)), preset.trip_rules()).first()
+    assert row.dq_invalid_trip_distance is None and row.dq_invalid_distance_outlier is None
+    assert row.dq_invalid_speed is False and row.is_valid_trip is False
+
+
+def test_rule_names_match_rules():
+    assert list(preset.trip_rules()) == preset.TRIP_FLAGS
+
+
+def test_summary_gate_and_empty_input(make_trips):
+    flagged = models.flag_trips(make_trips({}, {"fare_amount": -1.0, "total_amount": 9.0}))
+    summary = dq_summary(flagged, preset.TRIP_FLAGS)
+    row = require_valid(summary)
+    assert (row.total_after_dedup, row.total_valid_cnt, row.total_invalid_cnt) == (2, 1, 1)
+    assert row.invalid_fare_amount_cnt == 1 and len(row) == 20
+    short = dq_summary(flagged, preset.TRIP_FLAGS, preset.SHORT_REPORT)
+    assert len(short.columns) == 10
+    bad = dq_summary(flagged.filter("not is_valid_trip"), preset.TRIP_FLAGS)
+    with pytest.raises(NoValidRows):
+        require_valid(bad)
+    with pytest.raises(NoValidRows):
+        require_valid(bad, allow_empty=True)
+    empty = dq_summary(flagged.filter("false"), preset.TRIP_FLAGS)
+    assert tuple(dq_gate(empty).first()) == (0, False)
+    with pytest.raises(NoValidRows):
+        require_valid(empty)
+    assert require_valid(empty, allow_empty=True).total_valid_cnt is None
+
+
+def test_reconcile(spark):
+    steps = {"a": spark.range(5), "b": spark.range(3)}
+    assert {tuple(r) for r in reconcile(steps).collect()} == {("a", 5), ("b", 3)}
+    report = reconcile(steps, {"lost": ("a", "b")}).collect()
+    assert {tuple(r) for r in report} == {("a", 5), ("b", 3), ("lost", 2)}
