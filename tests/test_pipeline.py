@@ -3,6 +3,7 @@ import datetime as dt
 
 import pytest
 
+from medallion.__main__ import main
 from medallion.operators.checks import ChecksFailed
 from medallion.operators.quality import NoValidRows
 from medallion.plans import pipeline
@@ -95,6 +96,17 @@ def test_silver_report(spark, config):
     assert report.summary.invalid_fare_amount_cnt == 1
 
 
+def test_steps_run_as_separate_jobs(spark, config, tmp_path):
+    options = ["--trips-root", config.trips_root, "--lookup", config.lookup_path]
+    options += ["--raw", "raw_s", "--staging", "staging_s", "--gold", "gold_s"]
+    options += ["--location", str(tmp_path), "--partition-by", "pickup_date", "--months", "2025-01, 2025-02"]
+    for step in ["inputs", "bronze", "silver", "staging", "gold", "check"]:
+        main([step, *options])
+    fact = spark.table("gold_s.fact_trip")
+    assert sorted(r.trip_sk for r in fact.collect()) == [1, 2, 3, 4]
+    assert any("pickup_date=2025-01-06" in f for f in fact.inputFiles())
+
+
 def test_gate_stops_before_any_silver_table(spark, config, make_trips, tmp_path):
     make_trips({"fare_amount": -1.0}).write.parquet(month_path(str(tmp_path), "2025-01"))
     bad = dataclasses.replace(

@@ -96,7 +96,8 @@ def trips(
         " else array(0) end)"
     )
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
+    # Orders grow with the data, so both sides are shuffled whatever the file sizes say.
+    orders = table(spark, sf_dir, "orders").hint("merge")
     made = ", ".join(_columns(expressions or TRIPS))
     return (
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
