@@ -1,4 +1,4 @@
-"""Run the trip preset: ``spark-submit medallion/__main__.py`` or ``python -m medallion``.
+"""Run the trip preset: ``spark-submit run.py`` or ``python -m medallion``.
 
 The steps can run as separate jobs in the order bronze, silver, staging, gold, check;
 ``all`` runs them in one application behind the input check.

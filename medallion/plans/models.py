@@ -98,11 +98,14 @@ def derive_trips(df: DataFrame) -> DataFrame:
     )
 
 
+def judge_trips(unique: DataFrame) -> DataFrame:
+    """Deduplicated trips with derived columns, quality flags and verdict, row by row."""
+    return flag_quality(derive_trips(unique), preset.trip_rules(), preset.VALID)
+
+
 def flag_trips(raw: DataFrame) -> DataFrame:
-    """All deduplicated trips with derived columns, quality flags and verdict."""
-    return flag_quality(
-        derive_trips(dedup_trips(type_trips(raw))), preset.trip_rules(), preset.VALID
-    )
+    """All deduplicated trips, judged."""
+    return judge_trips(dedup_trips(type_trips(raw)))
 
 
 def clean_trips(raw: DataFrame) -> DataFrame:

@@ -108,14 +108,16 @@ def bronze(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
 def silver(spark: SparkSession, config: RunConfig) -> SilverReport:
     """Clean, check and enrich the raw tables.
 
-    The flagged trips, whose deduplication is the one wide step, are computed once into
-    scratch.  Summary, gate and both published trip tables read them from there, and
-    nothing is replaced before the gate has passed.
+    The deduplication is the one wide step, so its result is computed once into scratch.
+    What follows is row by row and cheaper to repeat than to store: summary, gate and
+    both published trip tables derive from there, each reading the columns it needs.
+    Nothing is replaced before the gate has passed.
     """
     raw_trips = spark.table(config.raw(BRONZE_TRIPS))
     raw_zones = spark.table(config.raw(BRONZE_ZONES))
     with Scratch(spark, "silver") as scratch:
-        flagged = scratch.keep(models.flag_trips(raw_trips), "flagged")
+        unique = scratch.keep(models.dedup_trips(models.type_trips(raw_trips)), "unique")
+        flagged = models.judge_trips(unique)
         summary = require_valid(
             dq_summary(flagged, preset.TRIP_FLAGS, valid=preset.VALID), config.allow_empty
         )
@@ -139,7 +141,7 @@ def silver(spark: SparkSession, config: RunConfig) -> SilverReport:
                 "bronze_trips": raw_trips,
                 "bronze_zones": raw_zones,
                 "zones": zones,
-                "dedup_trips": flagged,
+                "dedup_trips": unique,
                 "clean_trips": clean,
                 "enriched_trips": enriched,
             },

@@ -147,14 +147,14 @@ def dq_gate_result(spark, sf_dir):
 def row_reconcile(spark, sf_dir):
     """Six counts; the deduplicated trips are written once and counted from there."""
     raw, raw_zones = fixtures.trips(spark, sf_dir), fixtures.zones(spark, sf_dir)
-    flagged = Scratch(spark, "reconcile").keep(models.flag_trips(raw), "flagged")
-    clean, zones = flagged.filter(preset.VALID), models.clean_zones(raw_zones)
+    unique = Scratch(spark, "reconcile").keep(models.dedup_trips(models.type_trips(raw)), "unique")
+    clean, zones = models.judge_trips(unique).filter(preset.VALID), models.clean_zones(raw_zones)
     return reconcile(
         {
             "bronze_trips": raw,
             "bronze_zones": raw_zones,
             "zones": zones,
-            "dedup_trips": flagged,
+            "dedup_trips": unique,
             "clean_trips": clean,
             "enriched_trips": models.enrich_trips(clean, zones),
         },
