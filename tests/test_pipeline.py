@@ -9,7 +9,6 @@ from medallion.operators.quality import NoValidRows
 from medallion.plans import pipeline
 from medallion.plans.marts import MARTS
 from medallion.sources.files import MissingInput, month_path
-from medallion.sources.scratch import scratch_root
 from medallion.sources.tables import (
     list_catalogs,
     list_layers,
@@ -159,7 +158,3 @@ def test_publish_partitioned_and_view(spark, tmp_path):
     assert table.filter("p = 1").inputFiles() and len(table.inputFiles()) <= 6
     assert publish_table(df.limit(5), "parts.t").count() == 5
     assert publish_view(df, "some_view").count() == 100
-
-
-def test_scratch_is_the_configured_folder(spark):
-    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
