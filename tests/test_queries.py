@@ -1,12 +1,13 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every registered query of the library against its SQL on the smallest tables."""
 
 import pytest
 
 import __spark_entry__ as entry_point
 from verification.compare import connect, differences
+from verification.oracle import ORACLE
+from verification.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,5 +25,10 @@ def test_entry(spark):
     assert entry_point.entry(spark).columns[0] == "pickup_date"
 
 
+def test_everything_is_registered():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql())
+
+
 def test_only_the_preview_has_no_sql():
     assert set(QUERIES) - set(ORACLE) == {"table_preview"}
