@@ -8,16 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import simhash
+from medallion.llm import langid, simhash
+from medallion.llm.common import ship
 from medallion.sources.scratch import Scratch
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is rejected go; learned from the labels of all given documents."""
+    return langid.accepted(docs, langid.fit(docs))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays; shingles and radius as the operator's contract has them."""
     return simhash.keep_one(docs, simhash.simhash_groups(docs))
 
 
-STAGES = [("simhash near-dedup", near_dedup)]
+STAGES = [("language id", language), ("simhash near-dedup", near_dedup)]
 # Trained models, hashes and iterations have no SQL form; the stages are tested by brute force.
 ORACLE_SQL = None
 
@@ -25,7 +31,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     scratch = Scratch(spark, "corpus")
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         docs = scratch.keep(stage(spark, docs, sf_dir), f"stage{number}")
     return docs

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,3 +87,21 @@ def text_key(column: str) -> list[Column]:
     text = F.coalesce(F.col(column), F.lit(""))
     null = F.col(column).isNull()
     return [F.xxhash64(null, text), F.xxhash64(F.lit(7), text, null)]
+
+
+_shipped: dict[str, object] = {}
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, for sessions started without ``--py-files``."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.TemporaryDirectory(prefix="medallion-src-", ignore_cleanup_errors=True)
+        target = Path(folder.name, "medallion_src.zip")
+        with zipfile.ZipFile(target, "w") as archive:
+            for source in sorted(package.rglob("*.py")):
+                archive.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(target))
+        _shipped[context.applicationId] = folder
+    return spark

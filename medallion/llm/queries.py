@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from medallion.llm import simhash
+from medallion.llm import langid, simhash
+from medallion.llm.common import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
 
 
+def held_out(id_col: str = "doc_id") -> Column:
+    """The fold never learned from; null for a null id, which is not learned from either."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs, usable=~held_out())
+    folded = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text")
+    return langid.identify(folded, model, also=("doc_id", "held_out"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE: dict[str, str] = {}
