@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import langid, simhash
+from medallion.llm import langid, packing, simhash
 from medallion.llm.common import ship
 from medallion.sources.scratch import Scratch
 
@@ -23,7 +23,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, simhash.simhash_groups(docs))
 
 
-STAGES = [("language id", language), ("simhash near-dedup", near_dedup)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces and their places in sequences."""
+    return packing.pack_documents(docs, keep_ids=False)
+
+
+STAGES = [("language id", language), ("simhash near-dedup", near_dedup), ("best-fit packing", pack)]
 # Trained models, hashes and iterations have no SQL form; the stages are tested by brute force.
 ORACLE_SQL = None
 

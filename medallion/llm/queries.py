@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import langid, simhash
+from medallion.llm import langid, packing, simhash
 from medallion.llm.common import ship
 
 
@@ -17,6 +17,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids only; the ids themselves come with ``keep_ids``."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), keep_ids=False)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """The fold never learned from; null for a null id, which is not learned from either."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
@@ -31,6 +36,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op9_language_id": op9_language_id,
 }
 
