@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import langid, packing, quality, simhash
+from medallion.llm import langid, merkle, packing, quality, simhash
 from medallion.llm.common import ship
 
 
@@ -26,6 +26,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_with_edits(_table(spark, sf_dir, "documents"))
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """The fold never learned from; null for a null id, which is not learned from either."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
@@ -42,6 +46,7 @@ QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op9_language_id": op9_language_id,
 }
 
