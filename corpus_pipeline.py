@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import langid, packing, simhash
+from medallion.llm import langid, packing, simhash, templates
 from medallion.llm.common import ship
 from medallion.sources.scratch import Scratch
 
@@ -18,6 +18,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accepted(docs, langid.fit(docs))
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents lose lines whose template recurs; ``n_chars`` follows the text."""
+    return templates.drop_recurring_lines(docs, length_col="n_chars")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays; shingles and radius as the operator's contract has them."""
     return simhash.keep_one(docs, simhash.simhash_groups(docs))
@@ -28,7 +33,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, keep_ids=False)
 
 
-STAGES = [("language id", language), ("simhash near-dedup", near_dedup), ("best-fit packing", pack)]
+STAGES = [("language id", language), ("line dedup", lines), ("simhash near-dedup", near_dedup), ("best-fit packing", pack)]
 # Trained models, hashes and iterations have no SQL form; the stages are tested by brute force.
 ORACLE_SQL = None
 

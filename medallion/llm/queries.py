@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import langid, merkle, packing, quality, simhash
+from medallion.llm import langid, merkle, packing, quality, simhash, templates
 from medallion.llm.common import ship
 
 
@@ -30,6 +30,11 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return templates.drop_recurring_lines(docs, dropped_col="n_dropped")
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """The fold never learned from; null for a null id, which is not learned from either."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
@@ -47,7 +52,10 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_line_dedup": templates.ORACLE,
+}
