@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import chat, langid, merkle, packing, quality, simhash, templates
+from medallion.llm import chat, langid, merkle, packing, quality, simhash, templates, warc
 from medallion.llm.common import ship
 
 
@@ -54,6 +54,11 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return templates.drop_recurring_lines(docs, dropped_col="n_dropped")
@@ -77,11 +82,13 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_warc": op6_warc,
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
 }
 
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": chat.ORACLE,
+    "op6_warc": warc.ORACLE,
     "op8_line_dedup": templates.ORACLE,
 }
