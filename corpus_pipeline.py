@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import langid, packing, simhash, templates
+from medallion.llm import langid, mixing, packing, simhash, templates
 from medallion.llm.common import ship
 from medallion.sources.scratch import Scratch
 
@@ -28,12 +28,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, simhash.simhash_groups(docs))
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document at least once, those of small sources up to twice."""
+    return mixing.draw(docs, mixing.mix_sources(docs))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces and their places in sequences."""
     return packing.pack_documents(docs, keep_ids=False)
 
 
-STAGES = [("language id", language), ("line dedup", lines), ("simhash near-dedup", near_dedup), ("best-fit packing", pack)]
+STAGES = [
+    ("language id", language),
+    ("line dedup", lines),
+    ("simhash near-dedup", near_dedup),
+    ("source mixing", mix),
+    ("best-fit packing", pack),
+]
 # Trained models, hashes and iterations have no SQL form; the stages are tested by brute force.
 ORACLE_SQL = None
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import chat, langid, merkle, packing, quality, simhash, templates, warc
-from medallion.llm.common import ship
+from medallion.llm import chat, langid, merkle, mixing, packing, quality, rollup, simhash, templates, warc
+from medallion.llm.common import cut, ship
+from medallion.sources.scratch import Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,11 +60,35 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches over the whole table, the second one committed twice.
+
+    All documents are counted and inserted; all counts are revised from tokens of the text
+    to tokens with an end mark, a new tokenizer version; documents labelled toxic are deleted.
+    """
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    counts = cut(rollup.count_tokens(docs, "byte_bpe_50k"))
+    ended = counts.select(
+        "doc_id", "source", "lang", F.lit("byte_bpe_50k+end").alias("tokenizer"), (F.col("n_tokens") + 1).alias("n_tokens")
+    )
+    totals = rollup.Rollup(spark, Scratch(spark, "rollup").path)
+    totals.commit("insert", rollup.inserts(counts))
+    for _ in range(2):
+        totals.commit("revise", rollup.revisions(counts, ended))
+    totals.commit("delete", rollup.deletes(rollup.flagged(ended, labels, "toxic")))
+    return totals.totals()
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return templates.drop_recurring_lines(docs, dropped_col="n_dropped")
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No source more than twice as often as another; every document at least once."""
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """The fold never learned from; null for a null id, which is not learned from either."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
@@ -83,8 +108,10 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_warc": op6_warc,
+    "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE: dict[str, str] = {
