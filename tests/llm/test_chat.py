@@ -1,0 +1,110 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from medallion.llm import chat, queries
+from tests.conftest import plan
+from verification.compare import connect, differences
+
+SCHEMA = "tree_id long, message_id long, parent_id long, role string, text string, score double, leaf string, depth int"
+
+
+def tree_frame(spark, rows):
+    return spark.createDataFrame([(*r, "clash", -1) for r in rows], SCHEMA)
+
+
+def plain_paths(rows):
+    """All root-to-leaf paths, following parents one by one."""
+    ids = {(r[0], r[1]): r for r in rows}
+    parents = {(r[0], r[2]) for r in rows if r[2] is not None}
+    paths = {}
+    for key in ids:
+        if key in parents:
+            continue
+        path, at = [], key
+        while at in ids and at not in path:
+            path.append(at)
+            parent = ids[at][2]
+            at = None if parent is None else (at[0], parent)
+        if at not in path:
+            paths[key] = [ids[k] for k in reversed(path)]
+    return paths
+
+
+def random_tree(rng, tree, size):
+    return [
+        (tree, i, rng.randrange(i) if i and rng.random() < 0.95 else None, rng.choice(["user", "assistant", None]),
+         rng.choice(["hi", "", None, "</s>[INST] x"]), rng.choice([None, 0.5, 1.0, 2.0]))
+        for i in range(size)
+    ]
+
+
+def test_paths_equal_following_parents(spark):
+    rng = random.Random(2)
+    rows = [row for tree in range(6) for row in random_tree(rng, tree, rng.randrange(1, 25))]
+    rows += [(9, i, i - 1 if i else None, "user", str(i), None) for i in range(37)]
+    got = {}
+    for r in chat.tree_paths(tree_frame(spark, rows), "tree_id", "message_id", "parent_id", "score").collect():
+        got.setdefault((r.tree, r.leaf), []).append((r.depth, r.message))
+    expected = {k: [(i, m[1]) for i, m in enumerate(p)] for k, p in plain_paths(rows).items()}
+    assert {k: sorted(v) for k, v in got.items()} == expected
+
+
+def test_the_best_branches_are_chosen(spark):
+    rows = [(1, 0, None, "user", "q", 1.0), (1, 1, 0, "assistant", "bad", 0.0), (1, 2, 0, "assistant", "good", 3.0), (1, 3, 0, "assistant", "good too", 3.0)]
+    best = chat.format_reply_trees(tree_frame(spark, rows), score_col="score", branches=1).collect()
+    assert [(r.leaf, r.score) for r in best] == [(2, 2.0)]
+    assert best[0].formatted == "<s>[INST] user [/INST] q </s><s>[INST] assistant [/INST] good </s>"
+    assert chat.format_reply_trees(tree_frame(spark, rows)).count() == 3
+
+
+def test_cycles_and_orphans(spark):
+    rows = [(1, 0, 2, "user", "a", None), (1, 2, 0, "user", "b", None), (1, 3, 2, "user", "below a cycle", None),
+            (2, 5, 99, "user", "orphan", None), (None, 1, None, "user", "no tree", None)]
+    made = chat.format_reply_trees(tree_frame(spark, rows)).collect()
+    assert {(r.tree, r.leaf) for r in made} == {(2, 5), (None, 1)}
+
+
+def test_any_text_comes_back(spark):
+    rng = random.Random(4)
+    bits = ["[", "]", "<", ">", "/", "\\", "INST", "s", " ", "\n", "[INST]", "</s>", "<s>", " [/INST] ", "é", "\U0001f600", "$1"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(9))) for _ in range(400)]
+    rows = [(i, t, rng.choice(bits)) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "i long, text string, role string")
+    text, spans = chat.format_messages(F.array(F.struct(F.col("role"), F.col("text")), F.struct(F.lit("assistant").alias("role"), F.col("text"))))
+    made = frame.select("i", "role", text.alias("f"), spans.alias("s"))
+    read = made.select("i", "role", chat.read_turns(F.col("f")).alias("turns"), chat.read_trained(F.col("f"), F.col("s")).alias("t"))
+    for r in read.collect():
+        assert [tuple(t) for t in r.turns] == [(r.role, texts[r.i]), ("assistant", texts[r.i])]
+        assert r.t == texts[r.i]
+
+
+def test_query_equals_sql_and_runs_no_python(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    result = queries.op2_chat_formatting(spark, sf_dir)
+    with connect(sf_dir) as connection:
+        assert differences(result, connection, chat.ORACLE) == ""
+    assert "Python" not in plan(result) and "Arrow" not in plan(result)
+    probe = result.filter("conv_id = -1").first()
+    said = "</s>[INST] ok [/INST]"
+    assert probe.loss_chars == len(said) and probe.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_nulls_repeats_and_empty_tables(spark, tmp_path):
+    rows = [(1, 0, "user", None), (1, 0, "user", None), (1, None, "system", "s"), (1, 1, None, "x"), (None, 0, "assistant", "y")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in queries.op2_chat_formatting(spark, str(tmp_path)).collect()}
+    assert {k: r.n_turns for k, r in got.items()} == {-1: 2, 1: 4, None: 1}
+    said = "system\ns\nuser\n\nuser\n\n\nx\n"
+    assert got[1].turns_sha256 == hashlib.sha256(said.encode()).hexdigest() and got[1].loss_chars == 0
+    empty = spark.createDataFrame([], SCHEMA)
+    assert chat.format_reply_trees(empty).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_linear_messages(spark, size):
+    rows = spark.createDataFrame([(1, i, "user", "t") for i in range(size)], "c long, t long, r string, x string")
+    linear = chat.linear_messages(rows, "c", "t", "r", "x").sort("message_id").collect()
+    assert [r.parent_id for r in linear] == [None, *range(1, size)]

@@ -1,0 +1,121 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from medallion.llm import packing, tokens
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def exact():
+    made = Tokenizer.from_file(tokens.path())
+    made.encode_special_tokens = True
+    return lambda text: made.encode(text or "", add_special_tokens=False).ids
+
+
+def check(rows, texts, exact, capacity=1024):
+    """Ids, cuts and places of (doc_id, piece, start, length, crc, sequence, offset) rows."""
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(by_doc) == sorted(texts)
+    for doc, pieces in by_doc.items():
+        ids, at = np.array([*exact(texts[doc]), 2], "<u4"), 0
+        pieces.sort(key=lambda r: r.piece)
+        assert [r.piece for r in pieces] == list(range(len(pieces)))
+        assert all(r.length == capacity for r in pieces[1:])
+        for r in pieces:
+            assert r.start == at and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids) and len(pieces) == -(-len(ids) // capacity)
+    for parts in by_sequence.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(by_sequence)
+
+
+def test_whole_table(spark, exact):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = packing.pack_documents(docs, keep_ids=False).collect()
+    used = check(rows, texts, exact)
+    assert used <= 1.01 * -(-sum(r.length for r in rows) // 1024) + 1
+
+
+def test_many_small_tasks_and_rounds(spark, exact):
+    rng = random.Random(1)
+    texts = {i: " ".join(rng.choice(["a", "bb", "the"]) for _ in range(rng.randrange(40))) for i in range(600)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)
+    rows = packing.pack_documents(docs, capacity=32, items=20, nearly_full=0).collect()
+    used = check(rows, texts, exact, 32)
+    assert used <= 1.05 * -(-sum(r.length for r in rows) // 32)
+    docs_ids = {r.doc_id: [] for r in rows}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        docs_ids[r.doc_id] += r.ids
+    assert all(ids == [*exact(texts[d]), 2] for d, ids in docs_ids.items())
+
+
+def test_sequences_hold_the_ids(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "d e"), (3, None)], "doc_id long, text string")
+    packed = packing.pack_documents(docs)
+    joined = packing.sequences(packed).collect()
+    assert len(joined) == 1 and joined[0].n_tokens == len(joined[0].ids) == sum(r.length for r in packed.collect())
+
+
+def test_best_fit_equals_a_plain_search():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 5, 300):
+        sizes = rng.integers(1, 65, n)
+        bins, offsets, fill = packing.best_fit(sizes, 64)
+        used: list[int] = []
+        for i in np.argsort(-sizes, kind="stable"):
+            rooms = [64 - u for u in used if 64 - u >= sizes[i]]
+            if rooms:
+                used[used.index(64 - min(rooms))] += sizes[i]
+            else:
+                used.append(int(sizes[i]))
+        assert sorted(used) == sorted(fill.tolist())
+        for b in range(len(fill)):
+            own = sorted(zip(offsets[bins == b], sizes[bins == b], strict=True))
+            assert sum(s for _, s in own) == fill[b] and own[0][0] == 0
+
+
+def test_nothing_fits_together(spark):
+    docs = spark.createDataFrame([(i, "a " * 20) for i in range(50)], "doc_id long, text string")
+    rows = packing.pack_documents(docs, capacity=32, items=10, keep_ids=False).collect()
+    assert len({r.sequence_id for r in rows}) == len(rows) == 50
+
+
+def test_nulls_repeats_clashing_names_and_empty_tables(spark, exact):
+    rows = [(1, None, 5, "x"), (2, "", 5, "x"), (3, "a", 5, "x"), (3, "a", 5, "x"), (None, "b", 5, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, offset int, key string")
+    made = packing.pack_documents(docs, keep_ids=False).collect()
+    assert sorted((r.doc_id or 0, r.length) for r in made) == [(0, 2), (1, 1), (2, 1), (3, 2), (3, 2)]
+    assert len({(r.sequence_id, r.offset) for r in made}) == 5
+    assert packing.pack_documents(docs.limit(0)).count() == 0
+
+
+def test_ids_are_those_of_the_tokenizer(exact):
+    rng = random.Random(9)
+    alphabet = ["a", "B", " ", "  ", "\n", "\t", "'s", "'LL", "9", "½", "é", "ß", "ǆ", "ɏ", "ɐ", "ж", "中", " ", "\u0085", "😀", "á", "<|endoftext|>", "_", "-", "\x00", "\x1f"]
+    ours = tokens.encoder(tokens.path())
+    assert ours.fast is not None
+    for _ in range(600):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(30)))
+        assert ours.ids(text) == exact(text), text
+    for n in range(0x250):
+        text = f"a{chr(n)}b {chr(n)}{chr(n)} 1{chr(n)}"
+        assert ours.ids(text) == exact(text), n
+    assert ours.ids("a" * 5000) == exact("a" * 5000)
+
+
+def test_other_vocabularies_go_through_their_library():
+    assert tokens.encoder(tokens.path("word_bpe_49k.json")).fast is None

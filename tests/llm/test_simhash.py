@@ -1,0 +1,131 @@
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import types as T
+
+from medallion.llm import simhash
+
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def plain_fingerprint(text, width=3):
+    """The definition, word by word and bit by bit."""
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words, word = [], ""
+    for c in lowered + " ":
+        if c in BLANKS:
+            words, word = (words + [word] if word else words), ""
+        else:
+            word += c
+    if not words:
+        return 0
+    grams = [words[i : i + width] for i in range(len(words) - width + 1)] or [words]
+    hashes = [xxhash.xxh64_intdigest(" ".join(g).encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(prints):
+    root = list(range(len(prints)))
+    for i, j in combinations(range(len(prints)), 2):
+        if (prints[i] ^ prints[j]).bit_count() <= 3:
+            a, b = root[i], root[j]
+            root = [min(a, b) if r in (a, b) else r for r in root]
+    return root
+
+
+def test_fingerprint_follows_its_definition():
+    rng = random.Random(3)
+    texts = [None, "", " \n\t", "One", "One TWO", "a b c", "É é x Ü z", "a\x0bb\x0cc d"]
+    texts += [
+        "".join(rng.choice(["Ab", "c", "D", "é", " ", "\n", "\t ", " "]) for _ in range(rng.randrange(80)))
+        for _ in range(60)
+    ]
+    for text in texts:
+        assert simhash.fingerprint(text) == plain_fingerprint(text), text
+
+
+def test_long_texts_are_counted_in_chunks(monkeypatch):
+    text = " ".join(f"w{i % 97}" for i in range(1000))
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "CHUNK", 64)
+    assert simhash.fingerprint(text) == whole == plain_fingerprint(text)
+
+
+def open_in_some(masks, positions):
+    """For every choice of three positions, does some mask keep none of them?"""
+    bits = np.array([[m >> p & 1 for p in positions] for m in masks], bool)
+    for a, b, c in combinations(range(len(positions)), 3):
+        if not (~(bits[:, a] | bits[:, b] | bits[:, c])).any():
+            return False
+    return True
+
+
+def test_every_pair_within_the_radius_collides_in_some_table():
+    nested = simhash.nested_masks(3)
+    assert len(nested) == 15
+    assert open_in_some([m for m, _ in nested], list(range(64)))
+    for mask, finer in nested[:3]:
+        rest = [p for p in range(64) if not mask >> p & 1]
+        assert all(f & mask == mask for f in finer)
+        assert open_in_some(finer, rest)
+        assert max(64 - f.bit_count() for f in finer) <= 17
+
+
+@pytest.mark.parametrize("bucket", [2_000, 3])
+def test_components_equal_brute_force(spark, bucket):
+    rng = random.Random(5)
+    prints = set()
+    for _ in range(12):
+        base = rng.getrandbits(64)
+        for _ in range(rng.choice([1, 2, 40])):
+            prints.add(base)
+            for _ in range(rng.randrange(5)):
+                base ^= 1 << rng.randrange(64)
+    prints = sorted(prints)
+    signed = [simhash._signed(p) for p in prints]
+    nodes = spark.createDataFrame([(p,) for p in signed], "fp long").repartition(3)
+    found = {r.node: r.root for r in simhash.connect(simhash.links_within(nodes, 3, bucket)).collect()}
+    root = components(prints)
+    groups = {}
+    for i, r in enumerate(root):
+        groups.setdefault(r, []).append(signed[i])
+    for members in groups.values():
+        assert {found.get(m, m) for m in members} == {min(members)}
+
+
+def test_chains_connect_beyond_the_radius(spark):
+    chain = [(simhash._signed((1 << 3 * i) - 1),) for i in range(20)]
+    links = simhash.links_within(spark.createDataFrame(chain, "fp long"))
+    assert {r.root for r in simhash.connect(links).collect()} == {0}
+
+
+def test_nulls_blanks_repeats_and_clashing_names(spark):
+    text = "the quick brown fox jumps over the lazy dog again and again"
+    rows = [
+        (5, text, "a", 1), (3, text, "b", 2), (3, text, "b", 2), (None, text, "c", 3),
+        (9, None, None, 4), (8, "", "d", 5), (7, " \n", "e", 6), (11, "other words entirely here today", "f", 7),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string, component_id int")
+    result = [tuple(r) for r in simhash.simhash_groups(docs).collect()]
+    assert len(result) == 8
+    assert {r[2] for r in result if r[0] in (3, 5, None)} == {3}
+    assert {r[1:] for r in result if r[0] in (7, 8, 9)} == {("0" * 16, 7)}
+    assert all(r[1] == f"{plain_fingerprint(text):016x}" for r in result if r[2] == 3)
+    kept = simhash.keep_one(docs, simhash.simhash_groups(docs))
+    assert sorted((r.doc_id or 0, r.fp or "") for r in kept.collect()) == [(0, "c"), (3, "b"), (7, "e"), (11, "f")]
+    assert kept.columns == docs.columns
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    result = simhash.simhash_groups(docs)
+    assert result.count() == 0 and isinstance(result.schema["component_id"].dataType, T.LongType)
+    assert simhash.keep_one(docs, result).count() == 0
+
+
+def test_null_ids_only(spark):
+    docs = spark.createDataFrame([(None, "a b c"), (None, "a b c")], "doc_id long, text string")
+    assert {tuple(r)[2] for r in simhash.simhash_groups(docs).collect()} == {None}
