@@ -109,6 +109,10 @@ def edits(left: str | None, right: str | None) -> tuple[list[tuple[int, int]], l
     """Code point spans of each text that have no equal in the other, found branch by branch."""
 
     def differing(a: list[Node], b: list[Node]) -> tuple[list[Node], list[Node]]:
+        same_start = next((i for i, (x, y) in enumerate(zip(a, b)) if x.digest != y.digest), min(len(a), len(b)))
+        a, b = a[same_start:], b[same_start:]
+        same_end = next((i for i, (x, y) in enumerate(zip(a[::-1], b[::-1])) if x.digest != y.digest), min(len(a), len(b)))
+        a, b = a[: len(a) - same_end], b[: len(b) - same_end]
         common = Counter(n.digest for n in a) & Counter(n.digest for n in b)
 
         def rest(nodes):
