@@ -29,7 +29,7 @@ BUCKETS = 1 << 16
 WIDTH = 16
 # The bounded sample: at most so many documents of each language, from each of them one
 # piece of each length at a place that follows from a hash.
-DOCS_PER_LANGUAGE = 1_500
+DOCS_PER_LANGUAGE = 1_000
 PIECES = (40, 160, 640)
 EPOCHS = 4
 BATCH = 16
@@ -189,27 +189,29 @@ def training_sample(
     """(label, validation, text): pieces of at most ``per_language`` documents of each label.
 
     Documents are chosen by a hash of their id, so the choice does not depend on
-    partitions.  The rank limit is applied before the shuffle as well.
+    partitions.  Only pieces are shuffled, and up to 1000 documents a label Spark applies the
+    rank limit before the shuffle as well, so a hot label sends a bounded number from each task.
     """
     rank = F.xxhash64(F.lit(SEED), F.col(id_col).cast("string"), F.length(text_col))
-    chosen = (
-        docs.filter(usable & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"), rank.alias("rank"))
-        .withColumn("nth", F.row_number().over(Window.partitionBy("label").orderBy("rank", F.length("text"))))
-        .filter(F.col("nth") <= per_language)
-    )
+    text = F.col(text_col)
     pieces = F.array(
         *[
             F.substring(
-                F.col("text"),
-                (F.lit(1) + F.pmod(F.xxhash64("rank", F.lit(n)), F.greatest(F.lit(1), F.length("text") - n + 1))).cast("int"),
+                text,
+                (1 + F.pmod(F.xxhash64(rank, F.lit(n)), F.greatest(F.lit(1), F.length(text) - n + 1))).cast("int"),
                 F.lit(n),
             )
             for n in PIECES
         ]
     )
+    chosen = (
+        docs.filter(usable & F.col(label_col).isNotNull() & text.isNotNull())
+        .select(F.col(label_col).cast("string").alias("label"), rank.alias("rank"), pieces.alias("pieces"))
+        .withColumn("nth", F.row_number().over(Window.partitionBy("label").orderBy("rank", "pieces")))
+        .filter(F.col("nth") <= per_language)
+    )
     return chosen.select(
-        "label", (F.col("nth") % VALIDATION == 0).alias("validation"), F.explode(pieces).alias("text")
+        "label", (F.col("nth") % VALIDATION == 0).alias("validation"), F.explode("pieces").alias("text")
     )
 
 
