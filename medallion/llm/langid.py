@@ -31,7 +31,7 @@ WIDTH = 16
 # piece of each length at a place that follows from a hash.
 DOCS_PER_LANGUAGE = 1_000
 PIECES = (40, 160, 640)
-EPOCHS = 4
+STEPS = 3_000  # gradient steps, however small the sample
 BATCH = 16
 RATE = 0.5
 SEED = 7
@@ -139,8 +139,8 @@ def train(texts: list[str], labels: list[str], validation: list[bool]) -> Langua
     weight = np.zeros((len(languages), WIDTH), np.float32)
     weight += rng.uniform(-0.1, 0.1, weight.shape).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
-    steps, done = max(1, EPOCHS * -(-len(used) // BATCH)), 0
-    for _ in range(EPOCHS):
+    done = 0
+    while done < STEPS and len(used):
         rng.shuffle(used)
         for start in range(0, len(used), BATCH):
             picked = used[start : start + BATCH]
@@ -150,7 +150,7 @@ def train(texts: list[str], labels: list[str], validation: list[bool]) -> Langua
             mean = np.add.reduceat(embed[ids], starts, axis=0) / sizes[:, None]
             p = softmax(mean @ weight.T + bias)
             p[np.arange(len(picked)), target[picked]] -= 1
-            rate = RATE * (1 - done / steps)
+            rate = RATE * max(0.0, 1 - done / STEPS)
             back = (p @ weight / sizes[:, None]).astype(np.float32)
             weight -= rate * (p.T @ mean)
             bias -= rate * p.sum(axis=0)
@@ -175,10 +175,12 @@ def calibrate(model: LanguageModel, grams: list[np.ndarray], target: np.ndarray)
     p = softmax(logits / model.temperature)
     top, right = p.max(axis=1), p.argmax(axis=1) == target
     order = np.argsort(-top, kind="stable")
-    precision = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
+    ends = np.flatnonzero(np.r_[np.diff(top[order]) != 0, True])  # equal scores go together
+    precision = np.cumsum(right[order])[ends] / (ends + 1)
     enough = np.flatnonzero(precision >= PRECISION)
-    lowest = float(top[order][enough[-1]]) if len(enough) else 1.0
-    model.threshold = max(LEAST_CONFIDENCE, lowest) if not right.all() else LEAST_CONFIDENCE
+    last = enough[-1] if len(enough) else precision.argmax()
+    if last < len(ends) - 1:
+        model.threshold = max(LEAST_CONFIDENCE, float(top[order][ends[last]]) - 1e-9)
     return model
 
 
