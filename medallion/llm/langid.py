@@ -36,7 +36,8 @@ BATCH = 16
 RATE = 0.5
 SEED = 7
 VALIDATION = 5  # every fifth sampled document is kept from training
-PRECISION = 0.99
+# Asked of what is accepted; labels may be wrong in a few of a hundred rows, so not more.
+PRECISION = 0.95
 LEAST_CONFIDENCE = 0.5
 # Multipliers of the subword hash: any odd 32-bit numbers.
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
