@@ -1,9 +1,14 @@
 """Sums and averages of doubles that do not depend on the order of the rows.
 
 Adding doubles in another order changes the last digits, so a plain ``sum`` gives
-another answer whenever the shuffle, the file split or a retried task differs.
-Here every value is taken in whole millionths and added exactly; what does not fit
-(beyond 9.2e12, NaN, infinities) is added as double, so no value is lost.
+another answer whenever the shuffle, the file split or a retried task differs.  Here every
+value is taken apart on three power-of-two grids, and each part is added as a whole number:
+
+    x = top * 2^40 + hi / 2^20 + lo / 2^73
+
+Every step but the last rounding is exact, so the parts lose nothing of a value above
+2^-73 in steps of that size.  NaN, infinities and values beyond 1e31 have no such parts and
+are added as doubles.
 """
 
 from __future__ import annotations
@@ -11,15 +16,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MILLION = 1_000_000.0
+TOP, HIGH, LOW = float(1 << 40), float(1 << 20), float(1 << 53)
+
+
+def _whole_sum(part: Column) -> Column:
+    return F.sum(part.cast("decimal(19,0)")).cast("double")
 
 
 def repeatable_sum(column: Column) -> Column:
-    """Sum of a double column as double, exact to a millionth per value."""
-    units = F.rint(column * F.lit(MILLION)).try_cast("bigint")
-    exact = F.sum(units.cast("decimal(19,0)")).cast("double") / F.lit(MILLION)
-    rest = F.sum(F.when(units.isNull(), column))
-    return F.coalesce(exact + rest, exact, rest)
+    """Sum of a double column as double; NULL when there is no value."""
+    top = (column / F.lit(TOP)).try_cast("bigint")
+    rest = (column - top.cast("double") * F.lit(TOP)) * F.lit(HIGH)
+    high = F.rint(rest)
+    low = F.rint((rest - high) * F.lit(LOW))
+    exact = _whole_sum(top) * F.lit(TOP) + (
+        _whole_sum(high.cast("bigint")) / F.lit(HIGH) + _whole_sum(low.cast("bigint")) / F.lit(HIGH * LOW)
+    )
+    odd = F.sum(F.when(top.isNull(), column))
+    return F.coalesce(exact + odd, exact, odd)
 
 
 def repeatable_avg(column: Column) -> Column:

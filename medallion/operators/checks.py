@@ -49,27 +49,30 @@ class TableChecks:
     no_rows: dict[str, tuple[Column, ...]] = field(default_factory=dict)
 
 
-def _row_checks(checks: TableChecks) -> DataFrame | None:
-    """All row conditions of a table in one pass over it."""
-    conditions = [("not_null", c, F.col(c).isNull()) for c in checks.not_null]
+def _row_checks(tables: list[TableChecks]) -> DataFrame | None:
+    """All row conditions of tables that are the same frame, in one pass over it."""
+    conditions = [
+        (checks.table, "not_null", c, F.col(c).isNull()) for checks in tables for c in checks.not_null
+    ]
     conditions += [
-        (test, None, reduce(lambda a, b: a | b, offends))
+        (checks.table, test, None, reduce(lambda a, b: a | b, offends))
+        for checks in tables
         for test, offends in checks.no_rows.items()
     ]
     if not conditions:
         return None
-    counted = checks.df.agg(
-        *[F.count_if(offends).alias(f"c{i}") for i, (_, _, offends) in enumerate(conditions)]
+    counted = tables[0].df.agg(
+        *[F.count_if(offends).alias(f"c{i}") for i, (*_, offends) in enumerate(conditions)]
     )
     results = F.array(
         *[
             F.struct(
                 F.lit(test).alias("test"),
-                F.lit(checks.table).alias("table"),
+                F.lit(table).alias("table"),
                 F.lit(column).cast("string").alias("column"),
                 F.col(f"c{i}").alias("failures"),
             )
-            for i, (test, column, _) in enumerate(conditions)
+            for i, (table, test, column, _) in enumerate(conditions)
         ]
     )
     return counted.select(F.inline(results))
@@ -89,19 +92,30 @@ def _unique_check(checks: TableChecks, column: str) -> DataFrame:
 
 
 def run_checks(tables: Iterable[TableChecks]) -> DataFrame:
-    """``test, table, column, failures, passed``: one row per check."""
+    """``test, table, column, failures, passed``: one row per check.
+
+    Tables given as one and the same frame share one pass.
+    """
+    shared: dict[int, list[TableChecks]] = {}
     parts: list[DataFrame] = []
     for checks in tables:
-        rows = _row_checks(checks)
-        parts += [rows] if rows is not None else []
+        shared.setdefault(id(checks.df), []).append(checks)
         parts += [_unique_check(checks, column) for column in checks.unique]
+    parts += [rows for group in shared.values() if (rows := _row_checks(group)) is not None]
     if not parts:
         raise ValueError("no checks given")
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
 
 
+def collected(report: DataFrame) -> DataFrame:
+    """The report evaluated once, one row per check; later reads run nothing again."""
+    order = ["table", "test", "column"]
+    return report.sparkSession.createDataFrame(report.sort(*order).collect(), report.schema)
+
+
 def require_passed(report: DataFrame) -> DataFrame:
-    """Return the report, or raise ``ChecksFailed`` naming what failed."""
+    """Return the evaluated report, or raise ``ChecksFailed`` naming what failed."""
+    report = collected(report)
     failed = report.filter(~F.col("passed")).collect()
     if failed:
         names = [f"{r.test} {r.table}{'.' + r.column if r.column else ''}: {r.failures}" for r in failed]

@@ -46,7 +46,7 @@ def enrich(
 
     A dimension measured below ``broadcast_bytes`` is broadcast, so the facts are not
     shuffled.  A larger one is joined by shuffle, where adaptive execution splits the
-    partitions of hot and NULL keys.
+    partitions of hot and NULL keys.  Only the plan differs, never the result.
     """
     small = _measure(dim, key, columns) <= broadcast_bytes
     for prefix, fact_key in roles.items():

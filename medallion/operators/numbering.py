@@ -1,55 +1,53 @@
 """A global row number that no single task has to compute.
 
 ``row_number()`` over an unpartitioned window moves every row to one task.  The same
-numbers come from parts of the order that are numbered side by side, each starting
-after the rows of all earlier parts.
+numbers come from ranges of the order that are numbered side by side, each starting
+after the rows of all earlier ranges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.sources.scratch import Scratch
 
-MAX_BUCKET_ROWS = 5_000_000
-MAX_BUCKETS = 1_000_000
-MAX_RANGES = 20_000
+RANGE_ROWS = 5_000_000
 # monotonically_increasing_id keeps the partition above bit 33, the row below it.
 POSITION_BITS = 33
 
 
 def _starts(sizes: DataFrame, part: str) -> DataFrame:
-    """Rows in all earlier parts.  The window is unpartitioned, over one row per part."""
-    earlier = Window.orderBy(F.col(part).asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    """Rows in all earlier ranges.  The window is unpartitioned, over one row per range."""
+    earlier = Window.orderBy(F.col(part)).rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select(part, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
 
 
-def _number_in_buckets(
-    df: DataFrame, name: str, order: Sequence[str], bucket: Column, sizes: DataFrame
+def global_row_number(
+    df: DataFrame,
+    name: str,
+    order: Sequence[str],
+    scratch: Scratch,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
-    starts = _starts(sizes, "_bucket")
-    inside = Window.partitionBy("_part").orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    numbered = df.withColumn("_part", bucket).withColumn("_local", F.row_number().over(inside))
-    joined = numbered.join(
-        F.broadcast(starts), numbered["_part"].eqNullSafe(starts["_bucket"]), "left"
-    )
-    return joined.select((F.col("_start") + F.col("_local")).alias(name), *df.columns)
-
+    """Prepend ``row_number() over (order by order)``, ascending with NULLs last.
 
-def _number_by_ranges(
-    df: DataFrame, name: str, order: Sequence[str], ranges: int, scratch: Scratch
-) -> DataFrame:
+    ``order`` has to be total, and the input repeatable and cheap to read, since it is
+    counted and sampled before it is written.  The rows are range-partitioned on the *whole*
+    order, about ``range_rows`` a range, which splits even a single hot value of the first column, and
+    written once.  One row per range is broadcast.  The result reads from ``scratch``, so
+    drop that only when the result is written.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(partitions, -(-df.count() // range_rows))
     ascending = [F.col(c).asc_nulls_last() for c in order]
     placed = scratch.keep(
         df.repartitionByRange(ranges, *ascending)
         .sortWithinPartitions(*ascending)
         .withColumn("_position", F.monotonically_increasing_id()),
-        "ranges",
+        f"ranges-{name}",
     )
     placed = placed.withColumn("_part", F.shiftrightunsigned("_position", POSITION_BITS))
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
@@ -57,40 +55,3 @@ def _number_by_ranges(
     return placed.join(F.broadcast(_starts(sizes, "_part")), "_part", "left").select(
         (F.col("_start") + local + 1).alias(name), *df.columns
     )
-
-
-def global_row_number(
-    df: DataFrame,
-    name: str,
-    order: Sequence[str],
-    bucket: Column,
-    max_bucket_rows: int = MAX_BUCKET_ROWS,
-    max_buckets: int = MAX_BUCKETS,
-    scratch: Scratch | None = None,
-) -> DataFrame:
-    """Prepend ``row_number() over (order by order)``, ascending with NULLs last.
-
-    ``bucket`` must not decrease along ``order`` (a truncation of its first column) and
-    must be NULL only where that column is.  ``order`` has to be total, and the input
-    repeatable, since it is read more than once.
-
-    The bucket sizes are counted first.  While every bucket fits one task, the buckets
-    are numbered in place and their starts broadcast.  If one is larger, or there are
-    too many to broadcast, the rows are range-partitioned on the *whole* order instead,
-    which also splits a single hot value of the first column, and written once.
-    The result reads from ``scratch``, so drop that only when the result is written.
-    """
-    scratch = scratch or Scratch(df.sparkSession, "numbering")
-    sizes = scratch.keep(
-        df.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_rows")), "sizes"
-    )
-    facts = sizes.agg(
-        F.count("*").alias("buckets"),
-        F.coalesce(F.max("_rows"), F.lit(0)).alias("largest"),
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total"),
-    ).first()
-    if facts["largest"] <= max_bucket_rows and facts["buckets"] <= max_buckets:
-        return _number_in_buckets(df, name, order, bucket, sizes)
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = min(max(partitions, -(-facts["total"] // max_bucket_rows)), MAX_RANGES)
-    return _number_by_ranges(df, name, order, ranges, scratch)

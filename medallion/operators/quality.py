@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 PREFIX = "dq_"
@@ -43,21 +43,24 @@ def dq_summary(
 
     ``only`` restricts the report to some flags.  Over no rows the sums are NULL.
     """
+    return df.agg(*summary_columns(flags, only, valid))
+
+
+def summary_columns(
+    flags: Iterable[str], only: Iterable[str] | None = None, valid: str = "is_valid_trip"
+) -> list[Column]:
+    """The aggregates of ``dq_summary``, for an aggregation or an observation."""
     wanted = set(flags if only is None else only)
 
     def hits(condition: Column) -> Column:
         return F.sum(F.when(condition, 1).otherwise(0))
 
-    return df.agg(
+    return [
         F.count("*").alias("total_after_dedup"),
-        *[
-            hits(F.col(f)).alias(f"{f.removeprefix(PREFIX)}_cnt")
-            for f in flags
-            if f in wanted
-        ],
+        *[hits(F.col(f)).alias(f"{f.removeprefix(PREFIX)}_cnt") for f in flags if f in wanted],
         hits(~F.col(valid)).alias("total_invalid_cnt"),
         hits(F.col(valid)).alias("total_valid_cnt"),
-    )
+    ]
 
 
 def dq_gate(summary: DataFrame) -> DataFrame:
@@ -66,34 +69,38 @@ def dq_gate(summary: DataFrame) -> DataFrame:
     return summary.select(count.alias("total_valid_cnt"), (count > 0).alias("passed"))
 
 
-def require_valid(summary: DataFrame, allow_empty: bool = False) -> Row:
+def require_valid(summary: Row, allow_empty: bool = False) -> Row:
     """Return the summary row; raise ``NoValidRows`` when no row passed the rules.
 
     An empty input fails too, unless ``allow_empty``.
     """
-    row = summary.first()
-    empty_is_fine = allow_empty and row["total_after_dedup"] == 0
-    if not row["total_valid_cnt"] and not empty_is_fine:
-        raise NoValidRows(f"no valid row among {row['total_after_dedup']} after deduplication")
-    return row
+    empty_is_fine = allow_empty and summary["total_after_dedup"] == 0
+    if not summary["total_valid_cnt"] and not empty_is_fine:
+        raise NoValidRows(f"no valid row among {summary['total_after_dedup']} after deduplication")
+    return summary
 
 
-def reconcile(
-    steps: Mapping[str, DataFrame],
-    differences: Mapping[str, tuple[str, str]] | None = None,
-) -> DataFrame:
-    """``step, rows`` for every frame, plus named differences between two steps."""
-    counts = reduce(
-        DataFrame.unionByName,
-        [
-            df.agg(F.count("*").alias("rows")).select(F.lit(step).alias("step"), "rows")
-            for step, df in steps.items()
-        ],
-    )
-    if not differences:
-        return counts
-    wide = counts.agg(*[F.max(F.when(F.col("step") == s, F.col("rows"))).alias(s) for s in steps])
-    report = {s: f"`{s}`" for s in steps}
-    report.update({name: f"`{a}` - `{b}`" for name, (a, b) in differences.items()})
-    pairs = ", ".join(f"'{name}', {value}" for name, value in report.items())
-    return wide.selectExpr(f"stack({len(report)}, {pairs}) as (step, rows)")
+class RowCounter:
+    """Counts the rows of frames while something else reads or writes them.
+
+    ``watch`` the frame of each step, run the actions, then ask for the ``report``.  A
+    watched frame counts when its first action ends, so no step needs a pass of its own.
+    Watch a frame behind the last shuffle of its action: there a repeated task counts once.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.counts: dict[str, Observation | int] = {}
+
+    def watch(self, step: str, df: DataFrame) -> DataFrame:
+        self.counts[step] = Observation()
+        return df.observe(self.counts[step], F.count("*").alias("rows"))
+
+    def add(self, step: str, rows: int) -> None:
+        self.counts[step] = rows
+
+    def report(self, differences: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
+        """``step, rows`` per step in the order they were named, plus differences of two steps."""
+        rows = {s: c if isinstance(c, int) else c.get["rows"] for s, c in self.counts.items()}
+        found = {name: rows[a] - rows[b] for name, (a, b) in (differences or {}).items()}
+        return self.spark.createDataFrame(list({**rows, **found}.items()), "step string, rows bigint")

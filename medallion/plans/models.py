@@ -16,9 +16,10 @@ from medallion.functions import (
 )
 from medallion.operators.dedup import dedup
 from medallion.operators.enrich import BROADCAST_BYTES, enrich
-from medallion.operators.numbering import MAX_BUCKET_ROWS, global_row_number
+from medallion.operators.numbering import RANGE_ROWS, global_row_number
 from medallion.operators.quality import flag_quality, valid_only
 from medallion.plans import preset
+from medallion.session import require_utc
 from medallion.sources.scratch import Scratch
 
 
@@ -42,7 +43,11 @@ def clean_zones(raw: DataFrame) -> DataFrame:
 
 
 def type_trips(raw: DataFrame) -> DataFrame:
-    """Raw trips with fixed types; columns the preset does not know pass through."""
+    """Raw trips with fixed types; columns the preset does not know pass through.
+
+    Raises on a session whose zone is not UTC, where durations would be other ones.
+    """
+    require_utc(raw.sparkSession)
     typed = type_columns(raw, preset.TRIP_TYPES)
     return typed.withColumn("store_and_fwd_flag", upper_trim(F.col("store_and_fwd_flag")))
 
@@ -123,7 +128,8 @@ def enrich_trips(
 
 
 def _contract(spec: list[tuple[str, str, str]]) -> list[str]:
-    return [f"try_cast(`{source}` AS {kind}) AS `{out}`" for out, source, kind in spec]
+    """Plain casts: typing is done, so a value that does not fit here raises instead of vanishing."""
+    return [f"cast(`{source}` AS {kind}) AS `{out}`" for out, source, kind in spec]
 
 
 def stage_trips(enriched: DataFrame) -> DataFrame:
@@ -149,17 +155,14 @@ def fact_columns(staged: DataFrame) -> DataFrame:
     return staged.select(*preset.FACT_COLUMNS)
 
 
-def build_fact(
-    staged: DataFrame, max_bucket_rows: int = MAX_BUCKET_ROWS, scratch: Scratch | None = None
-) -> DataFrame:
+def build_fact(staged: DataFrame, scratch: Scratch, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The fact: its columns behind a gap-free global number in pickup order."""
     return global_row_number(
         fact_columns(staged),
         preset.FACT_KEY,
         preset.FACT_ORDER,
-        F.date_trunc("hour", "pickup_ts"),
-        max_bucket_rows,
-        scratch=scratch,
+        scratch,
+        range_rows,
     )
 
 

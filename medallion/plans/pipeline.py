@@ -5,18 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
-from medallion.operators.checks import require_passed, run_checks
+from medallion.operators.checks import collected, require_passed, run_checks
 from medallion.operators.enrich import BROADCAST_BYTES
-from medallion.operators.numbering import MAX_BUCKET_ROWS
-from medallion.operators.quality import (
-    dq_summary,
-    reconcile,
-    require_valid,
-    valid_only,
-)
+from medallion.operators.numbering import RANGE_ROWS
+from medallion.operators.quality import RowCounter, require_valid, summary_columns, valid_only
 from medallion.plans import models, preset
 from medallion.plans.assertions import preset_checks
 from medallion.plans.marts import MARTS
@@ -58,7 +52,7 @@ class RunConfig:
     partition_by: Sequence[str] = ()
     allow_empty: bool = False
     broadcast_bytes: int = BROADCAST_BYTES
-    max_bucket_rows: int = MAX_BUCKET_ROWS
+    range_rows: int = RANGE_ROWS
     check_before_publish: bool = False
     fail_on_checks: bool = True
 
@@ -94,6 +88,7 @@ class SilverReport:
 
 def bronze(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
     """Publish the raw files as tables, uncleaned."""
+    apply_settings(spark)
     ensure_layers(spark, [config.layers.raw], config.location)
     trips = read_months(spark, config.trips_root, config.months, config.layout, config.fill)
     zones = read_lookup(spark, config.lookup_path, preset.LOOKUP_COLUMNS)
@@ -108,50 +103,54 @@ def bronze(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
 def silver(spark: SparkSession, config: RunConfig) -> SilverReport:
     """Clean, check and enrich the raw tables.
 
-    The deduplication is the one wide step, so its result is computed once into scratch.
-    What follows is row by row and cheaper to repeat than to store: summary, gate and
-    both published trip tables derive from there, each reading the columns it needs.
-    Nothing is replaced before the gate has passed.
+    The deduplication is the one wide step, so its result is computed once into scratch, and
+    the quality summary is observed while it is written.  What follows is row by row and
+    cheaper to repeat than to store: both published trip tables derive from there, and
+    count their rows while they are written.  Nothing is replaced before the gate has passed.
     """
+    apply_settings(spark)
     raw_trips = spark.table(config.raw(BRONZE_TRIPS))
     raw_zones = spark.table(config.raw(BRONZE_ZONES))
+    steps = RowCounter(spark)
+    steps.add("bronze_trips", raw_trips.count())
+    steps.add("bronze_zones", raw_zones.count())
     with Scratch(spark, "silver") as scratch:
-        unique = scratch.keep(models.dedup_trips(models.type_trips(raw_trips)), "unique")
-        flagged = models.judge_trips(unique)
-        summary = require_valid(
-            dq_summary(flagged, preset.TRIP_FLAGS, valid=preset.VALID), config.allow_empty
+        unique = models.dedup_trips(models.type_trips(raw_trips))
+        report = Observation()
+        judged = models.judge_trips(unique).observe(
+            report, *summary_columns(preset.TRIP_FLAGS, valid=preset.VALID)
         )
+        stored = scratch.keep(judged.select(*unique.columns), "unique")
+        summary = require_valid(Row(**report.get), config.allow_empty)
         zones = publish_table(
             models.clean_zones(raw_zones), config.raw(SILVER_ZONES), config.provider
         )
-        clean = publish_table(
-            valid_only(flagged, preset.VALID),
+        steps.add("zones", zones.count())
+        steps.add("dedup_trips", summary["total_after_dedup"])
+        flagged = models.judge_trips(stored)
+        publish_table(
+            steps.watch("clean_trips", valid_only(flagged, preset.VALID)),
             config.raw(SILVER_TRIPS),
             config.provider,
             config.partition_by,
         )
-        enriched = publish_table(
-            models.enrich_trips(valid_only(flagged, preset.VALID), zones, config.broadcast_bytes),
+        enriched = models.enrich_trips(
+            valid_only(flagged, preset.VALID), zones, config.broadcast_bytes
+        )
+        publish_table(
+            steps.watch("enriched_trips", enriched),
             config.raw(SILVER_ENRICHED),
             config.provider,
             config.partition_by,
         )
-        counted = reconcile(
-            {
-                "bronze_trips": raw_trips,
-                "bronze_zones": raw_zones,
-                "zones": zones,
-                "dedup_trips": unique,
-                "clean_trips": clean,
-                "enriched_trips": enriched,
-            },
-            {"duplicates_removed": ("bronze_trips", "dedup_trips")},
-        ).collect()
-    return SilverReport(summary, spark.createDataFrame(counted, "step string, rows bigint"))
+    return SilverReport(
+        summary, steps.report({"duplicates_removed": ("bronze_trips", "dedup_trips")})
+    )
 
 
 def staging(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
     """Catalog views with the published names and types."""
+    apply_settings(spark)
     ensure_layers(spark, [config.layers.staging], config.location)
     return {
         STAGED_TRIPS: publish_sql_view(
@@ -183,6 +182,7 @@ def gold(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
     With ``check_before_publish`` the fact and the marts are built in scratch and all
     checks must pass before the first gold table is replaced.
     """
+    apply_settings(spark)
     ensure_layers(spark, [config.layers.gold], config.location)
 
     def publish(name: str, df: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def gold(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
 
     with Scratch(spark, "gold") as scratch:
         staged = spark.table(config.staging(STAGED_TRIPS))
-        fact = models.build_fact(staged, config.max_bucket_rows, scratch)
+        fact = models.build_fact(staged, scratch, config.range_rows)
         dim = models.build_dim_zone(spark.table(config.staging(STAGED_ZONES)))
         if not config.check_before_publish:
             tables = {FACT: publish(FACT, fact), DIM_ZONE: publish(DIM_ZONE, dim)}
@@ -206,6 +206,7 @@ def gold(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
 
 def check(spark: SparkSession, config: RunConfig) -> DataFrame:
     """The report of all checks over the published tables."""
+    apply_settings(spark)
     names = [FACT, *MARTS]
     published = {name: spark.table(config.gold(name)) for name in names}
     return run_checks(preset_checks({**_tables(spark, config), **published}))
@@ -223,8 +224,5 @@ def run(spark: SparkSession, config: RunConfig) -> DataFrame:
     silver(spark, config)
     staging(spark, config)
     gold(spark, config)
-    rows = check(spark, config).collect()
-    report = spark.createDataFrame(
-        rows, "test string, table string, column string, failures bigint, passed boolean"
-    ).sort(F.col("table"), F.col("test"), F.col("column"))
-    return require_passed(report) if config.fail_on_checks else report
+    report = check(spark, config)
+    return require_passed(report) if config.fail_on_checks else collected(report)

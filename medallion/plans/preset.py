@@ -94,6 +94,7 @@ MAX_TOTAL = 600
 MIN_MPH = 1
 MAX_MPH = 80
 
+# Flag names and the columns they look at.
 MISSING_RULES = {
     "dq_missing_pickup": "tpep_pickup_datetime",
     "dq_missing_dropoff": "tpep_dropoff_datetime",
@@ -108,6 +109,7 @@ MISSING_RULES = {
 
 def trip_rules() -> dict[str, Column]:
     """The 17 rules in report order; a rule is true where the row is broken."""
+    # The flag names.
     minutes, speed = F.col("trip_duration_min"), F.col("trip_speed_mph")
     rules = {flag: F.col(column).isNull() for flag, column in MISSING_RULES.items()}
     rules["dq_invalid_trip_distance"] = F.col("trip_distance") <= 0
@@ -148,7 +150,7 @@ SHORT_REPORT = [
     "dq_invalid_speed",
 ]
 
-# Prefix of the looked-up columns, and the trip's own key column for that role.
+# Prefix of the looked-up columns, and the trip's own key column for that role.
 ROLES = {"pu": "PULocationID", "do": "DOLocationID"}
 
 # Staging contract, (output, source, type).
@@ -243,7 +245,7 @@ FACT_COLUMNS = [
     "dropoff_service_zone",
 ]
 FACT_KEY = "trip_sk"
-# The first four define the number; the others complete the trip key, so no ties remain.
+# The first four define the number; the others complete the trip key, so no ties remain.
 FACT_ORDER = [
     "pickup_ts",
     "dropoff_ts",

@@ -26,6 +26,13 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Raise where durations and dates would depend on another session zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"the session zone is {zone}: call apply_settings(spark), rules work in UTC")
+
+
 def build_session(app: str = "medallion", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or fetch) a session with ``SETTINGS``; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)

@@ -2,6 +2,9 @@
 
 A frame that several jobs read is written once and read back: this cuts the lineage,
 keeps it columnar, and a lost executor costs a re-read instead of a recomputation.
+
+All folders of an application lie in one of its own.  It goes with ``release``, and at the
+latest when the driver's JVM ends.
 """
 
 from __future__ import annotations
@@ -29,12 +32,43 @@ def scratch_root(spark: SparkSession) -> str:
     return folder.name
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system drop an existing folder when the driver's JVM ends."""
+    files, target = _file_system(spark, path)
+    files.deleteOnExit(target)
+
+
+def application_folder(spark: SparkSession) -> str:
+    """The application's own folder below the scratch root."""
+    folder = f"{scratch_root(spark)}/medallion-{spark.sparkContext.applicationId}"
+    files, target = _file_system(spark, folder)
+    if not files.exists(target):
+        files.mkdirs(target)
+        files.deleteOnExit(target)
+    return folder
+
+
+def release(spark: SparkSession) -> None:
+    """Drop all scratch folders of the application; results that read them are then gone."""
+    delete_folder(spark, f"{scratch_root(spark)}/medallion-{spark.sparkContext.applicationId}")
+
+
 class Scratch:
-    """A fresh folder below the scratch root; as a context manager it is dropped at the end."""
+    """A fresh folder of the application; as a context manager it is dropped at the end."""
 
     def __init__(self, spark: SparkSession, label: str = "run"):
         self.spark = spark
-        self.path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+        self.path = f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
     def location(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -46,8 +80,7 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(target)
 
     def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(self.spark, self.path)
 
     def __enter__(self) -> Scratch:
         return self

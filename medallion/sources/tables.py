@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from medallion.sources.scratch import delete_folder
+
 
 def ensure_layers(spark: SparkSession, layers: Iterable[str], location: str | None = None) -> None:
     """Create the namespaces that do not exist yet, below ``location`` when given."""
@@ -26,8 +29,14 @@ def publish_table(
     """Create or fully replace a table and return it read back from the catalog.
 
     ``provider="iceberg"`` replaces in one atomic step and needs an Iceberg catalog.
-    The other providers use the built-in catalog's overwrite.
+    Other providers write a new table beside the old one and swap them by renaming, so a
+    write that fails leaves the old table as it was.
+
+    ``coalesce_to`` writes that many files, by as few tasks; partitions are dealt anew by
+    their value, so both together are refused.
     """
+    if coalesce_to and partition_by:
+        raise ValueError("coalesce_to fixes the number of files, partition_by deals them anew: give one")
     if coalesce_to:
         df = df.coalesce(coalesce_to)
     if partition_by:
@@ -47,10 +56,36 @@ def publish_table(
             writer = writer.option(key, value)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(name)
+        _write_and_swap(df.sparkSession, writer, name)
     return df.sparkSession.table(name)
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def _write_and_swap(spark: SparkSession, writer: DataFrameWriter, name: str) -> None:
+    """Each version of a table has a folder of its own, so renaming moves no file."""
+    database, _, table = name.rpartition(".")
+    version = uuid.uuid4().hex[:12]
+    root = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    folder, beside, aside = f"{root}/{table}-{version}", f"{name}__new_{version}", f"{name}__old_{version}"
+    try:
+        writer.option("path", folder).saveAsTable(beside)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        delete_folder(spark, folder)
+        raise
+    old = _location(spark, name) if spark.catalog.tableExists(name) else None
+    if old:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+    if old:
+        spark.sql(f"DROP TABLE {aside}")
+        delete_folder(spark, old)
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     """Register a frame as a session view."""
     df.createOrReplaceTempView(name)

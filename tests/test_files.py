@@ -3,6 +3,7 @@ from pyspark.errors import AnalysisException
 
 from medallion.sources.files import (
     MissingInput,
+    SchemaMismatch,
     input_coverage,
     month_path,
     parse_months,
@@ -11,6 +12,8 @@ from medallion.sources.files import (
     require_inputs,
 )
 
+from tests.conftest import plan
+
 
 @pytest.fixture(scope="module")
 def root(spark, tmp_path_factory):
@@ -34,12 +37,43 @@ def test_months_read_as_one_table(spark, root):
     assert read_months(spark, root, ["2024-12", "2025-01"]).count() == 4
 
 
-def test_fill_adds_missing_columns(spark, root):
-    table = read_months(spark, root, ["2025-01", "2025-02"], fill={"fee": "double", "new": "int"})
+def test_months_with_other_columns_are_refused(spark, root):
+    with pytest.raises(SchemaMismatch, match="fee: double in 2025-01; missing in 2025-02"):
+        read_months(spark, root, ["2025-01", "2025-02"])
+    with pytest.raises(SchemaMismatch, match="fee: missing in 2025-02; double in 2025-01"):
+        read_months(spark, root, ["2025-02", "2025-01"])
+
+
+def test_fill_adds_the_columns_it_names(spark, root):
+    table = read_months(spark, root, ["2025-02", "2025-01"], fill={"fee": "double", "new": "int"})
     assert sorted((r.id, r.fee, r.new) for r in table.collect() if r.fee) == [(1, 1.0, None), (2, 2.0, None)]
     assert table.filter("fee is null").count() == 1
 
 
+def test_fill_covers_no_other_column(spark, root):
+    with pytest.raises(SchemaMismatch, match="fee"):
+        read_months(spark, root, ["2025-01", "2025-02"], fill={"other": "int"})
+
+
+def test_another_type_needs_fill(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, 1.5)], "ID long, fee double").write.parquet(month_path(folder, "2025-01"))
+    spark.createDataFrame([(2, "2.5")], "id int, fee string").write.parquet(month_path(folder, "2025-02"))
+    months = ["2025-01", "2025-02"]
+    with pytest.raises(SchemaMismatch, match="id: bigint in 2025-01; int in 2025-02"):
+        read_months(spark, folder, months, fill={"fee": "double"})
+    table = read_months(spark, folder, months, fill={"fee": "double", "id": "bigint"})
+    assert sorted(map(tuple, table.collect())) == [(1, 1.5), (2, 2.5)]
+    spark.createDataFrame([(3, "much")], "id long, fee string").write.parquet(month_path(folder, "2025-03"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_months(spark, folder, ["2025-01", "2025-03"], fill={"fee": "double"}).collect()
+
+
+def test_one_scan_per_schema(spark, root):
+    table = read_months(spark, root, ["2024-12", "2025-01", "2025-02"], fill={"fee": "double"})
+    assert plan(table).count("FileScan") == 2
+
+
 def test_missing_and_no_months(spark, root):
     with pytest.raises(AnalysisException):
         read_months(spark, root, ["2025-01", "2025-09"])

@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from medallion.operators.numbering import global_row_number
+from medallion.sources.scratch import Scratch
 from tests.conftest import plan
 
 ORDER = ["ts", "a", "b"]
@@ -27,10 +28,10 @@ def literal(df):
 
 
 def numbered(df, **limits):
-    return global_row_number(df, "n", ORDER, F.date_trunc("hour", "ts"), **limits)
+    return global_row_number(df, "n", ORDER, Scratch(df.sparkSession, "numbering"), **limits)
 
 
-def test_buckets_equal_the_literal_window(spark):
+def test_ranges_equal_the_literal_window(spark):
     df = frame(spark)
     result = numbered(df)
     assert {(r.n, r.b) for r in result.collect()} == literal(df)
@@ -40,16 +41,19 @@ def test_buckets_equal_the_literal_window(spark):
 
 def test_one_hot_timestamp_is_split_by_the_whole_order(spark):
     df = frame(spark, hot_share=0.4)
-    result = numbered(df, max_bucket_rows=50)
+    result = numbered(df, range_rows=50)
     assert {(r.n, r.b) for r in result.collect()} == literal(df)
-    files = [f for f in result.inputFiles() if "/ranges/" in f]
+    files = [f for f in result.inputFiles() if "/ranges-n/" in f]
     per_file = df.sparkSession.read.parquet(*files).groupBy(F.input_file_name()).count()
     assert per_file.agg(F.max("count")).first()[0] < 0.4 * 600
 
 
-def test_too_many_buckets_fall_back_to_ranges(spark):
-    df = frame(spark)
-    assert {(r.n, r.b) for r in numbered(df, max_buckets=2).collect()} == literal(df)
+def test_the_bound_of_a_range_has_no_ceiling(spark):
+    df = spark.range(3000).select(F.col("id").alias("b"), F.lit(None).cast("timestamp").alias("ts"), F.lit(1).alias("a"))
+    files = [f for f in numbered(df, range_rows=10).inputFiles() if "/ranges-n/" in f]
+    per_file = spark.read.parquet(*files).groupBy(F.input_file_name()).count()
+    largest, ranges = per_file.agg(F.max("count"), F.count("*")).first()
+    assert largest < 60 and ranges > 100
 
 
 def test_empty_input(spark):

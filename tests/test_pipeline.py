@@ -1,14 +1,19 @@
 import dataclasses
 import datetime as dt
+import os
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
-from medallion.__main__ import main
+from medallion.__main__ import configure, main, parse
 from medallion.operators.checks import ChecksFailed
 from medallion.operators.quality import NoValidRows
-from medallion.plans import pipeline
+from medallion.plans import models, pipeline
 from medallion.plans.marts import MARTS
+from medallion.session import apply_settings
 from medallion.sources.files import MissingInput, month_path
+from medallion.sources.scratch import Scratch, application_folder
 from medallion.sources.tables import (
     list_catalogs,
     list_layers,
@@ -158,3 +163,92 @@ def test_publish_partitioned_and_view(spark, tmp_path):
     assert table.filter("p = 1").inputFiles() and len(table.inputFiles()) <= 6
     assert publish_table(df.limit(5), "parts.t").count() == 5
     assert publish_view(df, "some_view").count() == 100
+
+
+def test_coalesce_and_partitions_are_refused_together(spark):
+    with pytest.raises(ValueError, match="give one"):
+        publish_table(spark.range(3), "nowhere.t", partition_by=["id"], coalesce_to=2)
+
+
+def test_a_failing_write_leaves_the_old_table(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS swaps LOCATION '{tmp_path}/swaps'")
+    publish_table(spark.range(7), "swaps.t")
+    broken = spark.range(5).selectExpr("id", "cast(concat('x', id) as int) as bad")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        publish_table(broken, "swaps.t")
+    assert spark.table("swaps.t").count() == 7
+    assert [r.table for r in list_tables(spark, "swaps").collect()] == ["t"]
+    parts = spark.range(9).selectExpr("id", "id % 2 as p")
+    for _ in range(2):
+        table = publish_table(parts, "swaps.t", partition_by=["p"])
+        assert table.filter("p = 0").count() == 5 and spark.table("swaps.t").count() == 9
+    assert publish_table(spark.table("swaps.t").filter("p = 1"), "swaps.t").count() == 4
+
+
+def test_nothing_is_left_in_scratch_after_a_run(spark, config):
+    pipeline.run(spark, config)
+    before = set(os.listdir(application_folder(spark)))
+    pipeline.run(spark, config)
+    assert set(os.listdir(application_folder(spark))) == before
+
+
+def test_stored_trips_are_read_twice(spark, config, monkeypatch):
+    """Once for the clean and once for the enriched table; summary and counts come with writes."""
+    pipeline.bronze(spark, config)
+    actions = []
+    keep, count = Scratch.keep, DataFrame.count
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, name: actions.append(("keep", name)) or keep(self, df, name))
+    monkeypatch.setattr(DataFrame, "count", lambda self: actions.append(("count", self.columns[0])) or count(self))
+    monkeypatch.setattr(pipeline, "publish_table", lambda df, name, *a, **k: actions.append(("publish", name)) or publish_table(df, name, *a, **k))
+    pipeline.silver(spark, config)
+    assert [a for a in actions if a[0] != "count"] == [
+        ("keep", "unique"),
+        ("publish", config.raw(pipeline.SILVER_ZONES)),
+        ("publish", config.raw(pipeline.SILVER_TRIPS)),
+        ("publish", config.raw(pipeline.SILVER_ENRICHED)),
+    ]
+    assert [a[1] for a in actions if a[0] == "count"] == ["VendorID", "LocationID", "location_id"]
+
+
+@pytest.fixture
+def new_york(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    yield
+    apply_settings(spark)
+
+
+def test_steps_work_in_utc_whatever_the_session_zone(spark, config, make_trips, tmp_path, new_york):
+    """A trip over the clock change of 2025-03-09 takes 80 minutes, not 20."""
+    change = {"tpep_pickup_datetime": dt.datetime(2025, 3, 9, 1, 50), "tpep_dropoff_datetime": dt.datetime(2025, 3, 9, 3, 10)}
+    raw = make_trips(change)
+    with pytest.raises(ValueError, match="New_York"):
+        models.flag_trips(raw)
+    raw.write.parquet(month_path(str(tmp_path), "2025-03"))
+    spring = dataclasses.replace(
+        config, trips_root=str(tmp_path), months=["2025-03"], location=str(tmp_path / "warehouse"),
+        layers=pipeline.Layers("raw_z", "staging_z", "gold_z"),
+    )
+    pipeline.bronze(spark, spring)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    pipeline.silver(spark, spring)
+    assert spark.table(spring.raw(pipeline.SILVER_TRIPS)).first().trip_duration_min == 80
+
+
+def test_an_unreadable_fee_is_not_hidden_by_the_contract(spark, make_trips):
+    trips = make_trips({}).withColumn("cbd_congestion_fee", F.lit("much"))
+    zones = models.clean_zones(spark.createDataFrame(ZONE_ROWS, "LocationID string, Borough string, Zone string, service_zone string"))
+    staged = models.stage_trips(models.enrich_trips(models.clean_trips(trips), zones))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        staged.collect()
+
+
+def test_months_are_required(monkeypatch, capsys):
+    monkeypatch.delenv("RAW_TRIP_MONTHS", raising=False)
+    with pytest.raises(SystemExit):
+        parse(["all", "--trips-root", "r", "--lookup", "l"])
+    assert "--months" in capsys.readouterr().err
+    options = ["all", "--trips-root", "r", "--lookup", "l", "--months", "2025-01", "--fill", "fee=double", "--allow-empty"]
+    made = configure(parse([*options, "--broadcast-bytes", "5", "--range-rows", "7"]))
+    assert (made.fill, made.allow_empty, made.broadcast_bytes, made.range_rows) == ({"fee": "double"}, True, 5, 7)
+    monkeypatch.setenv("RAW_TRIP_MONTHS", "2025-02")
+    assert configure(parse(options[:5])).months == ["2025-02"]

@@ -5,10 +5,10 @@ import pytest
 
 from medallion.operators.quality import (
     NoValidRows,
+    RowCounter,
     dq_gate,
     dq_summary,
     flag_quality,
-    reconcile,
     require_valid,
 )
 from medallion.plans import models, preset
@@ -76,25 +76,28 @@ def test_rule_names_match_rules():
 def test_summary_gate_and_empty_input(make_trips):
     flagged = models.flag_trips(make_trips({}, {"fare_amount": -1.0, "total_amount": 9.0}))
     summary = dq_summary(flagged, preset.TRIP_FLAGS)
-    row = require_valid(summary)
+    row = require_valid(summary.first())
     assert (row.total_after_dedup, row.total_valid_cnt, row.total_invalid_cnt) == (2, 1, 1)
     assert row.invalid_fare_amount_cnt == 1 and len(row) == 20
     short = dq_summary(flagged, preset.TRIP_FLAGS, preset.SHORT_REPORT)
     assert len(short.columns) == 10
     bad = dq_summary(flagged.filter("not is_valid_trip"), preset.TRIP_FLAGS)
     with pytest.raises(NoValidRows):
-        require_valid(bad)
+        require_valid(bad.first())
     with pytest.raises(NoValidRows):
-        require_valid(bad, allow_empty=True)
+        require_valid(bad.first(), allow_empty=True)
     empty = dq_summary(flagged.filter("false"), preset.TRIP_FLAGS)
     assert tuple(dq_gate(empty).first()) == (0, False)
     with pytest.raises(NoValidRows):
-        require_valid(empty)
-    assert require_valid(empty, allow_empty=True).total_valid_cnt is None
-
-
-def test_reconcile(spark):
-    steps = {"a": spark.range(5), "b": spark.range(3)}
-    assert {tuple(r) for r in reconcile(steps).collect()} == {("a", 5), ("b", 3)}
-    report = reconcile(steps, {"lost": ("a", "b")}).collect()
-    assert {tuple(r) for r in report} == {("a", 5), ("b", 3), ("lost", 2)}
+        require_valid(empty.first())
+    assert require_valid(empty.first(), allow_empty=True).total_valid_cnt is None
+
+
+def test_rows_are_counted_while_others_write(spark):
+    steps = RowCounter(spark)
+    steps.add("raw", 7)
+    steps.watch("a", spark.range(5)).write.format("noop").mode("overwrite").save()
+    both = steps.watch("c", steps.watch("b", spark.range(4)).filter("id > 0"))
+    both.write.format("noop").mode("overwrite").save()
+    report = [tuple(r) for r in steps.report({"lost": ("raw", "a")}).collect()]
+    assert report == [("raw", 7), ("a", 5), ("b", 4), ("c", 3), ("lost", 2)]

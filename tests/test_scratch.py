@@ -1,8 +1,13 @@
+import os
+import subprocess
+import sys
+import time
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
-from medallion.sources.scratch import Scratch, scratch_root
+from medallion.sources.scratch import Scratch, application_folder, release, scratch_root
 
 
 def session(folder, master):
@@ -36,3 +41,36 @@ def test_scratch_drops_only_its_own_folder(spark):
     assert table.count() == 10
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(scratch.location("t")).count()
+
+
+def test_release_drops_all_folders_of_the_application(spark):
+    Scratch(spark, "some").keep(spark.range(3), "t")
+    folder = application_folder(spark)
+    assert os.path.isdir(folder)
+    release(spark)
+    assert not os.path.exists(folder)
+    assert Scratch(spark, "again").keep(spark.range(3), "t").count() == 3
+
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {repo!r})
+from medallion.session import build_session
+from verification.queries import QUERIES
+spark = build_session("ends", "local[2]", spark__checkpoint__dir="file://" + sys.argv[1], spark__ui__enabled="false",
+    spark__sql__shuffle__partitions="2", spark__sql__warehouse__dir=sys.argv[1] + "-warehouse")
+for key in ("orders_row_number", "lookup_csv", "file_reduction"):
+    assert QUERIES[key](spark, "/root/testdata/sf0.001").count() > 0
+"""
+
+
+def test_a_finished_application_leaves_nothing(tmp_path):
+    root = tmp_path / "shared"
+    root.mkdir()
+    repo = str(Path(__file__).resolve().parents[1])
+    subprocess.run([sys.executable, "-c", SCRIPT.format(repo=repo), str(root)], check=True, timeout=300)
+    end = time.time() + 60  # the JVM outlives Python by a moment
+    while any(p.name.startswith("medallion-") for p in root.iterdir()) and time.time() < end:
+        time.sleep(0.5)
+    assert [p for p in root.rglob("*") if p.is_file()] == []
+    assert not any(p.name.startswith("medallion-") for p in root.iterdir())

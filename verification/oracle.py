@@ -45,6 +45,7 @@ ZONES_CLEAN = """
   QUALIFY row_number() OVER (PARTITION BY location_id ORDER BY borough NULLS LAST,
     zone NULLS LAST, service_zone NULLS LAST) = 1"""
 
+# Column names and types.
 INTEGERS = ["VendorID", "passenger_count", "RatecodeID", "PULocationID", "DOLocationID", "payment_type"]
 
 
@@ -64,6 +65,7 @@ def _typed(source: str) -> str:
     return f"\n  SELECT {', '.join(columns)} FROM {source}"
 
 
+# Key and survivor order.
 KEY = [
     "VendorID",
     "tpep_pickup_datetime",
@@ -106,6 +108,7 @@ CALENDAR = """cast(tpep_pickup_datetime AS DATE) AS pickup_date,
 
 SPEED = "CASE WHEN trip_hours > 0 THEN trip_distance / trip_hours END AS trip_speed_mph"
 PER_MILE = "CASE WHEN trip_distance > 0 THEN fare_amount / trip_distance END AS fare_per_mile"
+# Labels.
 PAYMENT = """CASE payment_type WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash'
       WHEN 3 THEN 'No charge' WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown'
       WHEN 6 THEN 'Voided trip' ELSE 'Other' END AS payment_type_desc"""
@@ -130,6 +133,7 @@ DERIVED = f"""
     {AIRPORT}
   FROM ({TIMED} dedup) d) t"""
 
+# Flags and their limits.
 FLAGS = {
     "dq_missing_pickup": "tpep_pickup_datetime IS NULL",
     "dq_missing_dropoff": "tpep_dropoff_datetime IS NULL",
@@ -163,6 +167,7 @@ ENRICHED = """
   FROM clean c LEFT JOIN zones p ON c.PULocationID = p.location_id
   LEFT JOIN zones d ON c.DOLocationID = d.location_id"""
 
+# The staging contract.
 STAGED = f"""
   SELECT tpep_pickup_datetime AS pickup_ts, tpep_dropoff_datetime AS dropoff_ts, pickup_date,
     pickup_year, pickup_month, pickup_day, pickup_hour, pickup_weekday,
@@ -191,8 +196,18 @@ FACT = f"""
 
 
 def _sum(column: str) -> str:
-    """Doubles add up differently in every order, so whole millionths are added instead."""
-    return f"cast(sum(cast(round_even({column} * 1000000, 0) AS BIGINT)) AS DOUBLE) / 1000000"
+    """Doubles add up differently in every order: each is cut into whole numbers on three
+    power-of-two grids, which add up exactly, and these are put together at the end."""
+    x = f"({column})"
+    top = f"trunc({x} / {2**40}.0)"
+    rest = f"(({x} - {top} * {2**40}.0) * {2**20}.0)"
+    high = f"round_even({rest}, 0)"
+    low = f"round_even(({rest} - {high}) * {2**53}.0, 0)"
+
+    def whole(part: str) -> str:
+        return f"cast(sum(cast({part} AS HUGEINT)) AS DOUBLE)"
+
+    return f"({whole(top)} * {2**40}.0 + ({whole(high)} / {2**20}.0 + {whole(low)} / {2**73}.0))"
 
 
 def _avg(column: str) -> str:
@@ -264,6 +279,7 @@ def _counts(tables: dict[str, str]) -> str:
     )
 
 
+# The checks.
 CHECKS = [
     ("not_null", "silver_trip_enriched", "enriched", "pickup_date"),
     ("not_null", "silver_trip_enriched", "enriched", "total_amount"),
@@ -313,6 +329,7 @@ def _checks() -> str:
     return f"SELECT *, failures = 0 AS passed FROM ({' UNION ALL '.join(parts)}) r"
 
 
+# Published table names.
 PUBLISHED = {
     "bronze_yellow_trip_raw": "raw_trips",
     "taxi_zone_lookup_raw": "raw_zones",
@@ -409,5 +426,19 @@ delivered AS (SELECT DISTINCT {FILE_MONTH['file_month']} AS month
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
 SELECT month, month IN (SELECT month FROM delivered)
   AND month < (SELECT max(month) FROM months) AS found FROM months""",
+    "month_scan_filled": _with(f"""SELECT * EXCLUDE (o_orderdate) REPLACE (CASE WHEN {FILE_MONTH['file_month']}
+      > (SELECT min({FILE_MONTH['file_month']}) FROM orders) THEN cbd_congestion_fee END AS cbd_congestion_fee)
+      FROM raw_trips""", raw_trips=_raw_trips({**TRIPS, "o_orderdate": "o_orderdate"})),
     "publish_reload": _with(_counts(PUBLISHED), raw_zones=RAW_ZONES_CSV),
+    "published_enriched": _with("SELECT * FROM enriched", raw_zones=RAW_ZONES_CSV),
+    "published_fact": _with(FACT, raw_zones=RAW_ZONES_CSV),
+    "published_daily_kpis": _with("SELECT * FROM mart_daily_kpis", raw_zones=RAW_ZONES_CSV),
+    "list_published": "SELECT layer, \"table\" FROM (VALUES " + ", ".join(
+        f"('{'staging' if name.startswith('stg_') else 'gold' if name in [*MARTS, 'fact_trip', 'dim_zone'] else 'raw'}', '{name}')"
+        for name in PUBLISHED
+    ) + ") t(layer, \"table\")",
+    "file_reduction": "SELECT count(*) AS rows, cast(2 AS BIGINT) AS files FROM lineitem",
+    "table_preview": _with(
+        "SELECT least(10, count(*)) AS shown, least(10, count(*)) AS in_table FROM typed"
+    ),
 }

@@ -10,16 +10,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions import calendar
-from medallion.operators.checks import check_no_rows, check_not_null, check_unique, run_checks
+from medallion.operators.checks import (
+    check_no_rows,
+    check_not_null,
+    check_unique,
+    collected,
+    run_checks,
+)
 from medallion.operators.numbering import global_row_number
-from medallion.operators.quality import dq_gate, dq_summary, reconcile
+from medallion.operators.quality import RowCounter, dq_gate, dq_summary
 from medallion.plans import models, pipeline, preset
 from medallion.plans.assertions import negative, preset_checks
 from medallion.plans.marts import MARTS, hourly_demand
 from medallion.session import apply_settings
 from medallion.sources.files import input_coverage, read_lookup, read_months
 from medallion.sources.scratch import Scratch
-from medallion.sources.tables import preview
+from medallion.sources.tables import (
+    ensure_layers,
+    list_layers,
+    list_tables,
+    preview,
+    publish_table,
+)
 from verification import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,21 +157,20 @@ def dq_gate_result(spark, sf_dir):
 
 
 def row_reconcile(spark, sf_dir):
-    """Six counts; the deduplicated trips are written once and counted from there."""
+    """Deduplicated, clean and enriched trips are counted while they are written or read once."""
     raw, raw_zones = fixtures.trips(spark, sf_dir), fixtures.zones(spark, sf_dir)
-    unique = Scratch(spark, "reconcile").keep(models.dedup_trips(models.type_trips(raw)), "unique")
-    clean, zones = models.judge_trips(unique).filter(preset.VALID), models.clean_zones(raw_zones)
-    return reconcile(
-        {
-            "bronze_trips": raw,
-            "bronze_zones": raw_zones,
-            "zones": zones,
-            "dedup_trips": unique,
-            "clean_trips": clean,
-            "enriched_trips": models.enrich_trips(clean, zones),
-        },
-        {"duplicates_removed": ("bronze_trips", "dedup_trips")},
-    )
+    zones = models.clean_zones(raw_zones)
+    steps = RowCounter(spark)
+    steps.add("bronze_trips", raw.count())
+    steps.add("bronze_zones", raw_zones.count())
+    steps.add("zones", zones.count())
+    with Scratch(spark, "reconcile") as scratch:
+        unique = steps.watch("dedup_trips", models.dedup_trips(models.type_trips(raw)))
+        stored = scratch.keep(unique, "unique")
+        clean = steps.watch("clean_trips", models.judge_trips(stored).filter(preset.VALID))
+        enriched = steps.watch("enriched_trips", models.enrich_trips(clean, zones))
+        enriched.write.format("noop").mode("overwrite").save()
+    return steps.report({"duplicates_removed": ("bronze_trips", "dedup_trips")})
 
 
 def trips_clean(spark, sf_dir):
@@ -182,30 +193,26 @@ def stg_trips(spark, sf_dir):
 
 
 def fact_trip(spark, sf_dir):
-    """The numbering reads its input twice, so the enriched trips are written first."""
-    enriched = Scratch(spark, "fact").keep(_enriched(spark, sf_dir), "enriched")
-    return models.build_fact(models.stage_trips(enriched))
+    """The numbering reads its input more than once, so the fact's columns are written first."""
+    scratch = Scratch(spark, "fact")
+    fact = scratch.keep(models.fact_columns(_staged(spark, sf_dir)), "columns")
+    return models.build_fact(fact, scratch)
 
 
 def events_row_number(spark, sf_dir):
     events = fixtures.table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     return global_row_number(
-        events, "event_number", ["ts", "user_id", "event_id"], F.date_trunc("hour", "ts")
+        events, "event_number", ["ts", "user_id", "event_id"], Scratch(spark, "events")
     )
 
 
 def orders_row_number(spark, sf_dir):
-    """Three status values share all rows, so no bucket of the first column fits a task."""
+    """Three status values share all rows; the ranges follow the whole order."""
     orders = fixtures.table(spark, sf_dir, "orders").select(
         "o_orderstatus", "o_orderdate", "o_orderkey"
     )
-    return global_row_number(
-        orders,
-        "order_number",
-        ["o_orderstatus", "o_orderdate", "o_orderkey"],
-        F.col("o_orderstatus"),
-        max_bucket_rows=100,
-    )
+    order = ["o_orderstatus", "o_orderdate", "o_orderkey"]
+    return global_row_number(orders, "order_number", order, Scratch(spark, "orders"))
 
 
 def _mart(name: str) -> Query:
@@ -235,20 +242,29 @@ def check_hourly_demand(spark, sf_dir):
     return check_no_rows(hourly_demand(_fact(spark, sf_dir)), *negative("mart_hourly_demand"))
 
 
+# What the checks of enriched, staged and fact rows read, and the marts besides.
+CHECKED = [
+    "pickup_ts", "pickup_date", "pickup_hour", "pickup_borough", "pickup_zone", "dropoff_borough", "payment_type",
+    "passenger_count", "trip_distance", "trip_duration_min", "trip_speed_mph", "fare_per_mile", "is_airport_trip",
+    "total_amount", "fare_amount", "tip_amount",
+]
+
+
 def run_all_checks(spark, sf_dir):
-    """All 25 checks; the enriched trips are written once, all tables derive from them."""
+    """All 25 checks.  Enriched, staged and fact rows are the same ones, stored once and
+    checked in one pass; every mart is aggregated once."""
     zones = _zones(spark, sf_dir)
-    enriched = Scratch(spark, "checks").keep(_enriched(spark, sf_dir), "enriched")
-    fact = models.fact_columns(models.stage_trips(enriched))
+    scratch = Scratch(spark, "checks")
+    rows = scratch.keep(_staged(spark, sf_dir).select(*CHECKED), "rows")
     tables = {
-        pipeline.SILVER_ENRICHED: enriched,
+        pipeline.SILVER_ENRICHED: rows,
         pipeline.SILVER_ZONES: zones,
-        pipeline.STAGED_TRIPS: models.stage_trips(enriched),
+        pipeline.STAGED_TRIPS: rows,
         pipeline.STAGED_ZONES: models.stage_zones(zones),
-        pipeline.FACT: fact,
-        **{name: build(fact) for name, build in MARTS.items()},
+        pipeline.FACT: rows,
+        **{name: scratch.keep(build(rows), name) for name, build in MARTS.items()},
     }
-    return run_checks(preset_checks(tables))
+    return collected(run_checks(preset_checks(tables)))
 
 
 def month_scan(spark, sf_dir):
@@ -257,6 +273,14 @@ def month_scan(spark, sf_dir):
     return read_months(spark, root, fixtures.months(spark, sf_dir), fixtures.MONTH_FOLDERS)
 
 
+def month_scan_filled(spark, sf_dir):
+    """The first month has no congestion fee, and a narrower vendor id."""
+    root = Scratch(spark, "filled").location("trips")
+    fixtures.write_months(spark, sf_dir, root, odd=True)
+    fill = {"cbd_congestion_fee": "double", "VendorID": "double"}
+    return read_months(spark, root, fixtures.months(spark, sf_dir), fixtures.MONTH_FOLDERS, fill)
+
+
 def lookup_csv(spark, sf_dir):
     path = Scratch(spark, "lookup").location("zones")
     fixtures.write_zones(spark, sf_dir, path)
@@ -272,8 +296,8 @@ def input_months(spark, sf_dir):
     return coverage.select("month", "found")
 
 
-def publish_reload(spark, sf_dir):
-    """The whole run, twice over the same tables; rows of every published table."""
+def _published(spark, sf_dir, read, twice=True):
+    """The whole run into fresh namespaces, then ``read(config, scratch)``; they are dropped again."""
     scratch = Scratch(spark, "publish")
     suffix = uuid.uuid4().hex[:8]
     layers = pipeline.Layers(f"raw_{suffix}", f"staging_{suffix}", f"gold_{suffix}")
@@ -288,9 +312,17 @@ def publish_reload(spark, sf_dir):
         layout=fixtures.MONTH_FOLDERS,
         fail_on_checks=False,
     )
-    pipeline.run(spark, config)
-    pipeline.run(spark, config)
-    names = {
+    try:
+        for _ in range(2 if twice else 1):
+            pipeline.run(spark, config)
+        return read(config, scratch)
+    finally:
+        for layer in layers.names():
+            spark.sql(f"DROP NAMESPACE IF EXISTS {layer} CASCADE")
+
+
+def _names(config):
+    return {
         pipeline.BRONZE_TRIPS: config.raw,
         pipeline.BRONZE_ZONES: config.raw,
         pipeline.SILVER_ZONES: config.raw,
@@ -302,12 +334,69 @@ def publish_reload(spark, sf_dir):
         pipeline.DIM_ZONE: config.gold,
         **{name: config.gold for name in MARTS},
     }
-    return reconcile({name: spark.table(full(name)) for name, full in names.items()})
+
+
+def publish_reload(spark, sf_dir):
+    """The whole run, twice over the same tables; rows of every published table."""
+
+    def read(config, scratch):
+        steps = RowCounter(spark)
+        for name, full in _names(config).items():
+            steps.add(name, spark.table(full(name)).count())
+        return steps.report()
+
+    return _published(spark, sf_dir, read)
+
+
+def _published_table(name: str) -> Query:
+    """A table's contents after the second run."""
+
+    def build(spark, sf_dir):
+        return _published(
+            spark, sf_dir, lambda config, scratch: scratch.keep(spark.table(_names(config)[name](name)), "read")
+        )
+
+    return build
+
+
+def list_published(spark, sf_dir):
+    """Tables and views of the three layers after a run, under fixed layer labels."""
+
+    def read(config, scratch):
+        labels = {config.layers.raw: "raw", config.layers.staging: "staging", config.layers.gold: "gold"}
+        known = {r[0] for r in list_layers(spark).collect()}
+        found = [
+            (label, r.table)
+            for layer, label in labels.items()
+            if layer in known
+            for r in list_tables(spark, layer).collect()
+        ]
+        return spark.createDataFrame(found, "layer string, table string")
+
+    return _published(spark, sf_dir, read, twice=False)
+
+
+def file_reduction(spark, sf_dir):
+    """Rows and files of a table written with two output files."""
+    layer = f"files_{uuid.uuid4().hex[:8]}"
+    ensure_layers(spark, [layer], Scratch(spark, "files").location("warehouse"))
+    try:
+        lines = fixtures.table(spark, sf_dir, "lineitem").repartition(6)
+        table = publish_table(lines, f"{layer}.lines", coalesce_to=2)
+        return spark.createDataFrame([(table.count(), len(table.inputFiles()))], "rows bigint, files bigint")
+    finally:
+        spark.sql(f"DROP NAMESPACE {layer} CASCADE")
 
 
 def table_preview(spark, sf_dir):
-    """The feature is the row limit itself; which rows come is left open."""
-    return preview(_typed(spark, sf_dir))
+    """The feature is the row limit itself: how many rows come, and how many are in the table."""
+    typed = _typed(spark, sf_dir)
+    key = F.xxhash64(*typed.columns)
+    shown = preview(typed).select(key.alias("key"))
+    inside = shown.join(typed.select(key.alias("key")).distinct(), "key")
+    return shown.agg(F.count("*").alias("rows")).unionByName(inside.agg(F.count("*").alias("rows"))).agg(
+        F.max("rows").alias("shown"), F.min("rows").alias("in_table")
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -344,6 +433,12 @@ QUERIES: dict[str, Query] = {
     "month_scan": _query(month_scan),
     "lookup_csv": _query(lookup_csv),
     "input_coverage": _query(input_months),
+    "month_scan_filled": _query(month_scan_filled),
     "publish_reload": _query(publish_reload),
+    "published_enriched": _query(_published_table(pipeline.SILVER_ENRICHED)),
+    "published_fact": _query(_published_table(pipeline.FACT)),
+    "published_daily_kpis": _query(_published_table("mart_daily_kpis")),
+    "list_published": _query(list_published),
+    "file_reduction": _query(file_reduction),
     "table_preview": _query(table_preview),
 }
