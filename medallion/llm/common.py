@@ -12,23 +12,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.sources.scratch import scratch_root
+from medallion.sources.scratch import delete_at_exit, scratch_root
 
 # Characters that are not in one of these end a word: ``[^\x20\x09-\x0D]+``.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = b" \t\n\x0b\x0c\r"
 
 
+_cut_folders: set[str] = set()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint: what follows reads files all executors share.
 
     For narrow intermediate results that several jobs read.  The files lie in
-    ``spark.checkpoint.dir`` (a session without it gets the scratch folder) and go with
-    the result if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    ``spark.checkpoint.dir`` (a session without it gets the scratch folder).  They go with
+    the result if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set, and at the
+    latest when the driver's JVM ends.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(scratch_root(df.sparkSession))
+    folder = context._jsc.sc().getCheckpointDir().get()  # one of the application's own
+    if folder not in _cut_folders:
+        delete_at_exit(df.sparkSession, folder)
+        _cut_folders.add(folder)
     return df.checkpoint(eager=True)
 
 
