@@ -141,7 +141,7 @@ def mix_sources(
     rows = docs.select(F.col(id_col).alias("doc_id"), h.alias("h"), F.col(source_col).alias("source"), tokens.alias("tokens"))
     rows = cut(rows.groupBy("doc_id", "h", "source", "tokens").agg(F.count("*").alias("copies")))
     measure = F.col("tokens") * F.col("copies")
-    totals = cut(source_totals(rows, "source", measure))
+    totals = cut(source_totals(rows, "source", measure).coalesce(8))  # a short row per source
     exponent = bisect_exponent(totals, entropy, max_repeat)
     planned = cut(
         weights(totals, exponent, budget).withColumn(

@@ -306,12 +306,13 @@ def quality_rules(
         for j in range(i + 1):
             own = 1 / F.sqrt(F.col("mad")[i] * F.col("mad")[i] + LEAST_SPREAD[i] ** 2)
             diagonal.append(own if i == j else F.lit(0.0))
-    estimates = cut(spread.select(*GROUP, "n", "centre", F.array(*diagonal).alias("root")))
+    # One short row per group: few files are enough.
+    estimates = cut(spread.select(*GROUP, "n", "centre", F.array(*diagonal).alias("root")).coalesce(8))
     octave = F.greatest(F.lit(MIN_OCTAVE), F.least(F.lit(MAX_OCTAVE), F.log2(F.greatest(_distance(), F.lit(1e-9)))))
     bin_ = F.floor(octave * BINS_PER_OCTAVE).cast("int")
     for _ in range(steps):
         before = estimates
-        estimates = cut(_step(_join(usable, before), bin_, coverage, scale))
+        estimates = cut(_step(_join(usable, before), bin_, coverage, scale).coalesce(8))
         moved = estimates.alias("x").join(
             before.alias("y"),
             same(F.col("x.g_lang"), F.col("y.g_lang")) & same(F.col("x.g_source"), F.col("y.g_source")) & (F.col("x.level") == F.col("y.level")),
