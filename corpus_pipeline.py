@@ -14,27 +14,43 @@ from medallion.sources.scratch import Scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is rejected go; learned from the labels of all given documents."""
+    """Documents whose language is rejected go; learned from the labels of all given documents.
+
+    A null text, or one without a letter, is rejected.  Null labels and ids are not learned
+    from, but judged.  If nothing can be learned, no language is known and all documents go.
+    """
     return langid.accepted(docs, langid.fit(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents lose lines whose template recurs; ``n_chars`` follows the text."""
+    """Documents lose lines whose template recurs; ``n_chars`` follows the text.
+
+    No document goes: one that loses all its lines has an empty text, a null text stays null.
+    """
     return templates.drop_recurring_lines(docs, length_col="n_chars")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays; shingles and radius as the operator's contract has them."""
+    """One document of each group stays; shingles and radius as the operator's contract has them.
+
+    Null, empty and blank texts are one group.  Rows without an id stay.
+    """
     return simhash.keep_one(docs, simhash.simhash_groups(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once, those of small sources up to twice."""
+    """Every document at least once, those of small sources up to twice.
+
+    A null source is a source; documents without words are drawn with their source.
+    """
     return mixing.draw(docs, mixing.mix_sources(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces and their places in sequences."""
+    """Pieces and their places in sequences; each drawn row has pieces of its own.
+
+    A null text counts as empty and is one end id.
+    """
     return packing.pack_documents(docs, keep_ids=False)
 
 

@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.llm.common import cut, same
+from medallion.llm.common import cut, free_names, same
 
 BLANKS = r"[\x20\x09-\x0D]+"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
@@ -189,9 +189,11 @@ def draw(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: st
 
     The number of draws per document is joined, not the draws, so no text is shuffled twice.
     """
-    times = mixed.groupBy("doc_id", "h").agg(F.count("*").alias("_times")).select(
-        F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "_times"
+    own, id_, h, times, nth = free_names(docs, "_own", "_id", "_h", "_times", "_nth")
+    counted = mixed.groupBy("doc_id", "h").agg(F.count("*").cast("int").alias(times)).select(
+        F.col("doc_id").alias(id_), F.col("h").alias(h), times
     )
-    h = F.xxhash64(F.col(text_col).isNull(), F.coalesce(F.col(text_col), F.lit("")))
-    joined = docs.withColumn("_own", h).join(times, same(F.col(id_col), F.col("_id")) & (F.col("_own") == F.col("_h")))
-    return joined.withColumn("_nth", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)
+    hashed = F.xxhash64(F.col(text_col).isNull(), F.coalesce(F.col(text_col), F.lit("")))
+    on = same(F.col(id_col), F.col(id_)) & (F.col(own) == F.col(h))
+    joined = docs.withColumn(own, hashed).join(counted, on)
+    return joined.withColumn(nth, F.explode(F.array_repeat(F.lit(1), F.col(times)))).select(*docs.columns)

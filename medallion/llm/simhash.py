@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import cut, words
+from medallion.llm.common import cut, free_names, words
 
 BITS = 64
 SEED = 42
@@ -274,13 +274,12 @@ def simhash_groups(
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is their group's smallest, once each.
+    """The rows of ``docs`` whose id is their group's smallest, once each, with all their columns.
 
-    Rows without an id cannot be named as copies and stay.
+    Rows without an id cannot be named as copies and stay.  Of repeated rows one stays.
     """
-    copies = groups.filter(F.col("doc_id") != F.col("component_id")).select(
-        F.col("doc_id").alias("_copy")
-    )
+    (copy,) = free_names(docs, "_copy")
+    copies = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(copy))
     named = docs.filter(F.col(id_col).isNotNull())
-    kept = named.join(copies, named[id_col] == F.col("_copy"), "left_anti").dropDuplicates([id_col])
+    kept = named.join(copies, named[id_col] == F.col(copy), "left_anti").dropDuplicates([id_col])
     return kept.unionByName(docs.filter(F.col(id_col).isNull()))

@@ -193,18 +193,17 @@ def read_archive(content: bytes) -> Iterator[dict]:
 # --- tables -------------------------------------------------------------------------
 
 
-def decide(pages: DataFrame, id_col: str, body_col: str, revisit_from: int = REVISIT_FROM) -> DataFrame:
-    """``pages`` with ``_digest`` and ``_refers_to`` (null: store the payload).
+def decide(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
+    """Pages (id, url, body) with ``digest`` and ``refers_to`` (null: store the payload).
 
     Of equal payloads of at least ``revisit_from`` bytes, those with the largest id are
     stored.  Only digests and ids are grouped; digests that occur once drop out before the join.
     """
-    body = F.coalesce(F.col(body_col), F.lit(""))
-    hashed = pages.withColumn("_digest", F.sha1(body.cast("binary")))
-    large = hashed.filter(F.octet_length(body) >= revisit_from).select("_digest", F.col(id_col).alias("_id"))
-    repeated = large.groupBy("_digest").agg(F.count("*").alias("_n"), F.max("_id").alias("_largest")).filter("_n > 1")
-    refers = F.when(~same(F.col(id_col), F.col("_largest")), F.col("_largest"))
-    return hashed.join(repeated, "_digest", "left").withColumn("_refers_to", refers).drop("_n", "_largest")
+    hashed = pages.withColumn("digest", F.sha1(F.col("body").cast("binary")))
+    large = hashed.filter(F.octet_length("body") >= revisit_from).select("digest", "id")
+    repeated = large.groupBy("digest").agg(F.count("*").alias("n"), F.max("id").alias("largest")).filter("n > 1")
+    refers = F.when(~same(F.col("id"), F.col("largest")), F.col("largest"))
+    return hashed.join(repeated, "digest", "left").select("id", "url", "body", "digest", refers.alias("refers_to"))
 
 
 def write_archives(
@@ -217,10 +216,10 @@ def write_archives(
     Each evaluation of the result writes the archives; store the rows, and read only the
     archives they name.  A null body is an empty payload; a null url or id has no header.
     """
-    decided = decide(pages, id_col, body_col, revisit_from).select(
-        F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(body_col), F.lit("")).alias("body"),
-        F.col("_digest").alias("digest"), F.col("_refers_to").alias("refers_to"),
+    picked = pages.select(
+        F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(body_col), F.lit("")).alias("body")
     )
+    decided = decide(picked, revisit_from)
 
     def make(rows: Iterator[dict]) -> Iterator[tuple]:
         scheme = urlsplit(folder).scheme

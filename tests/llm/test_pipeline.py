@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
@@ -94,3 +95,14 @@ def test_each_stage_takes_an_empty_table_and_odd_rows(spark, stages, tmp_path):
 def test_every_operator_has_a_query():
     names = [k for k in entry_point.queries() if k.startswith("op")]
     assert {int(k[2:].split("_")[0]) for k in names if k[2:].split("_")[0].isdigit()} == set(range(1, 11))
+
+
+def test_extra_columns_stay_whatever_their_names(spark, stages):
+    names = ["_h", "_own", "_id", "_dropped", "_copy", "_times", "h", "epoch", "leaf", "component_id", "Fingerprint", "key"]
+    docs = stages[0].limit(40)
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(i))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, docs, SF_DIR)
+        assert made.columns == docs.columns and made.select(*names).distinct().collect() == [tuple(range(len(names)))]
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() >= 40
