@@ -19,6 +19,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text, or one without a letter, is rejected.  Null labels and ids are not learned
     from, but judged.  If nothing can be learned, no language is known and all documents go.
     """
+    ship(spark)
     return langid.accepted(docs, langid.fit(docs))
 
 
@@ -35,6 +36,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null, empty and blank texts are one group.  Rows without an id stay.
     """
+    ship(spark)
     return simhash.keep_one(docs, simhash.simhash_groups(docs))
 
 
@@ -51,6 +53,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text counts as empty and is one end id.
     """
+    ship(spark)
     return packing.pack_documents(docs, keep_ids=False)
 
 
