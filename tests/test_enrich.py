@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from medallion.operators.enrich import AmbiguousDimension, enrich
 from medallion.plans import models
@@ -54,3 +55,30 @@ def test_repeated_dimension_key_raises(spark):
         enrich(facts, dim, {"x": "f"}, "k", ["v"])
     unique = dim.filter("v <> 'b'")
     assert enrich(facts, unique, {"x": "f"}, "k", ["v"]).first().x_v == "a"
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_a_hot_or_null_key_is_split(spark, hot):
+    """A third of all rows on one key: the shuffled lookup spreads them over several tasks."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        key = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id") % 500).cast("int")
+        facts = spark.range(0, 120_000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("load"))
+        dim = spark.range(500).select(F.col("id").cast("int").alias("zone"), F.lit("x").alias("name"))
+        joined = enrich(facts, dim, {"a": "k"}, "zone", ["name"], broadcast_bytes=0)
+        by_task = joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("load"))
+        found = joined.agg(F.count("*"), F.count("a_zone"), F.max("load"))
+        assert tuple(found.collect()[0])[:2] == (120_000, 120_000 if hot else 80_000)
+        assert "skew=true" in plan(found)
+        assert max(r.n for r in by_task.collect()) < 40_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
