@@ -1,3 +1,7 @@
+import random
+import re
+from collections import Counter, defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +71,57 @@ def test_nulls_blank_lines_repeats_and_empty_tables(spark):
     kept = templates.drop_recurring_lines(docs, dropped_col="n")
     assert sorted((r.doc_id, r.text, r.n) for r in kept.collect()) == [(5, line, 0), (8, "", 1), (8, "", 1), (9, "a", 1)]
     assert templates.drop_recurring_lines(docs.filter(F.lit(False))).count() == 0
+
+
+def brute_force(texts, depth=3, min_docs=3, min_constant=0.6):
+    """Which lines each document loses; every token is a field."""
+    leaves = defaultdict(lambda: defaultdict(set))
+    for d, text in texts:
+        for pos, line in enumerate(text.split("\n")):
+            tokens = tuple("<*>" if re.search("[0-9]", t) else t for t in line.split())
+            if tokens:
+                leaves[len(tokens), tokens[:depth]][tokens].add((d, pos))
+    lost = defaultdict(set)
+    for lines in leaves.values():
+        docs, places = Counter(), defaultdict(set)
+        for tokens, found in lines.items():
+            for at in enumerate(tokens):
+                docs[at] += len({d for d, _ in found})
+        for tokens, found in lines.items():
+            template = tuple(t if t != "<*>" and docs[i, t] >= min_docs else None for i, t in enumerate(tokens))
+            if len(template) - template.count(None) >= min_constant * len(template):
+                places[template] |= found
+        for found in places.values():
+            if len({d for d, _ in found}) >= min_docs:
+                for d, pos in found:
+                    if d != min(found)[0]:
+                        lost[d].add(pos)
+    return lost
+
+
+def without(texts, lost):
+    return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in lost.get(d, ())) for d, t in texts}
+
+
+@pytest.mark.parametrize("size", [17, 48, 160])
+def test_scattered_variable_words_of_a_long_line(spark, size):
+    rng = random.Random(size)
+    line = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(size)]
+    texts = []
+    for d in range(12):
+        own = list(line)
+        for i in range(4, size, 7 if size > 17 else 4):
+            own[i] = "".join(rng.choices("abcdefgh", k=12))
+        texts.append((d, f"{chr(97 + d) * 9}\n{' '.join(own)}"))
+    lost = brute_force(texts)
+    assert lost == {d: {1} for d in range(1, 12)}
+    assert run(spark, texts) == without(texts, lost)
+
+
+def test_repeats_within_a_document_make_no_token_constant(spark):
+    """Two documents have the rare words, one of them in several rows and lines."""
+    first, second = "we met up at kappa lambda", "we met up at omega sigma"
+    texts = [(1, f"{first}\n{first}\n{first}"), (2, second), (3, "we met up at tango delta")]
+    lost = brute_force(texts)
+    assert lost == {2: {0}, 3: {0}}
+    assert run(spark, texts) == without(texts, lost)
