@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -73,7 +74,7 @@ def test_nulls_blank_lines_repeats_and_empty_tables(spark):
     assert templates.drop_recurring_lines(docs.filter(F.lit(False))).count() == 0
 
 
-def brute_force(texts, depth=3, min_docs=3, min_constant=0.6):
+def brute_force(texts, depth=3, min_docs=3, min_constant=0.6, min_share=0.5):
     """Which lines each document loses; every token is a field."""
     leaves = defaultdict(lambda: defaultdict(set))
     for d, text in texts:
@@ -88,9 +89,11 @@ def brute_force(texts, depth=3, min_docs=3, min_constant=0.6):
             for at in enumerate(tokens):
                 docs[at] += len({d for d, _ in found})
         for tokens, found in lines.items():
-            template = tuple(t if t != "<*>" and docs[i, t] >= min_docs else None for i, t in enumerate(tokens))
-            if len(template) - template.count(None) >= min_constant * len(template):
-                places[template] |= found
+            counts = [docs[at] * (at[1] != "<*>") for at in enumerate(tokens)]
+            least = sorted(counts, reverse=True)[math.ceil(min_constant * len(tokens)) - 1]
+            if least >= min_docs:
+                bound = max(min_docs, min_share * least)
+                places[tuple(t if n >= bound else None for t, n in zip(tokens, counts))] |= found
         for found in places.values():
             if len({d for d, _ in found}) >= min_docs:
                 for d, pos in found:
@@ -125,3 +128,18 @@ def test_repeats_within_a_document_make_no_token_constant(spark):
     lost = brute_force(texts)
     assert lost == {2: {0}, 3: {0}}
     assert run(spark, texts) == without(texts, lost)
+
+
+@pytest.mark.parametrize("size", [12, 120, 600])
+def test_a_template_is_found_whatever_the_size(spark, size):
+    """Values of a field pass any fixed number of documents, their combinations do not."""
+    rng = random.Random(size)
+    name, city = ([f"{kind}{chr(97 + i)}" for i in range(20)] for kind in ("name", "city"))
+    # Of the same leaf: a rare line, equal in three documents, and prose.
+    texts = [(d, "Thanks for the fish and so long as we have it all") for d in range(1000, 1003)]
+    texts += [(2000 + i, f"Thanks for the {' '.join(rng.choices(name + city, k=9))}") for i in range(20)]
+    for d in range(size):
+        texts.append((d, f"Thanks for the report by {rng.choice(name)} about {rng.choice(city)} sent to us today"))
+    lost = brute_force(texts)
+    assert lost == {d: {0} for d in [*range(1, size), 1001, 1002]}
+    assert run(spark, texts) == without(texts, lost)
