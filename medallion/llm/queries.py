@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import chat, decontaminate, langid, merkle, mixing, packing, quality, rollup, simhash, templates, warc
+from medallion.llm import alignment, chat, decontaminate, langid, merkle, mixing, packing, quality, rollup, simhash, templates, warc
 from medallion.llm.common import cut, ship
 from medallion.sources.scratch import Scratch
 
@@ -105,6 +105,10 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -117,6 +121,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
     "op12_decontamination": op12_decontamination,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE: dict[str, str] = {

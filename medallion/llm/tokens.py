@@ -19,7 +19,7 @@ def path(name: str = DEFAULT) -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_of() -> dict[str, int]:
+def byte_of() -> dict[str, int]:
     """The byte each character of a byte-level vocabulary stands for: printable ones for
     themselves, the others, in order, for the characters from 256 on."""
     printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
@@ -28,40 +28,43 @@ def _byte_of() -> dict[str, int]:
 
 
 class Encoder:
-    """``tokenizers`` ids without special tokens; their strings in a text are ordinary text.
+    """``tokenizers`` ids, no special tokens added.
 
-    For a plain byte-level BPE file, Latin texts go through ``tiktoken`` over the ranks of
-    the same file, which gives the same ids several times faster (a test holds them
-    against each other).  All other texts and files go through ``tokenizers``.
+    A special token's string inside a text becomes that token, as the library has it by
+    default; with ``plain`` it is ordinary text.  For a plain byte-level BPE file, Latin
+    texts go through ``tiktoken`` over the ranks of the same file, which gives the same ids
+    several times faster (a test holds them against each other).  All other texts and files
+    go through ``tokenizers``, as do texts with such a string unless ``plain``.
     """
 
-    def __init__(self, file: str):
+    def __init__(self, file: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.exact = Tokenizer.from_file(file)
-        self.exact.encode_special_tokens = True
-        self.fast = None
+        self.exact.encode_special_tokens = plain
+        self.fast, self.marks = None, ()
         with open(file, encoding="utf-8") as source:
             spec = json.load(source)
         split, model = spec.get("pre_tokenizer") or {}, spec["model"]
-        plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
-        if model.get("type") == "BPE" and plain and not spec.get("normalizer") and not model.get("dropout"):
-            byte_of, added = _byte_of(), {t["content"] for t in spec.get("added_tokens", [])}
-            ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
+        byte_level = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+        if model.get("type") == "BPE" and byte_level and not spec.get("normalizer") and not model.get("dropout"):
+            table, added = byte_of(), {t["content"] for t in spec.get("added_tokens", [])}
+            self.marks = () if plain else tuple(sorted(added))
+            ranks = {bytes(table[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
             self.fast = tiktoken.Encoding(
                 "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
             )
 
     def ids(self, text: str) -> list[int]:
-        if self.fast is not None and not BEYOND_LATIN.search(text):
+        if self.fast is not None and not BEYOND_LATIN.search(text) and not any(m in text for m in self.marks):
             return self.fast.encode_ordinary(text)
         return self.exact.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(file: str) -> Encoder:
+def encoder(file: str, plain: bool = False) -> Encoder:
     """One per worker process."""
-    if file not in _encoders:
-        _encoders[file] = Encoder(file)
-    return _encoders[file]
+    if (file, plain) not in _encoders:
+        _encoders[file, plain] = Encoder(file, plain)
+    return _encoders[file, plain]

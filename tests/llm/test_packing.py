@@ -13,7 +13,6 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def exact():
     made = Tokenizer.from_file(tokens.path())
-    made.encode_special_tokens = True
     return lambda text: made.encode(text or "", add_special_tokens=False).ids
 
 
@@ -117,5 +116,17 @@ def test_ids_are_those_of_the_tokenizer(exact):
     assert ours.ids("a" * 5000) == exact("a" * 5000)
 
 
+def test_special_tokens_inside_texts():
+    """Their strings are those tokens, as the library has it, or ordinary text if asked for."""
+    made = Tokenizer.from_file(tokens.path())
+    plain, usual = tokens.encoder(tokens.path(), plain=True), tokens.encoder(tokens.path())
+    for added in made.get_added_tokens_decoder().values():
+        for text in (added.content, f"a {added.content}b", f"é{added.content * 2} {added.content[:-1]}", f"漢{added.content}"):
+            made.encode_special_tokens = False
+            assert usual.ids(text) == made.encode(text, add_special_tokens=False).ids
+            made.encode_special_tokens = True
+            assert plain.ids(text) == made.encode(text, add_special_tokens=False).ids != usual.ids(text)
+
+
 def test_other_vocabularies_go_through_their_library():
     assert tokens.encoder(tokens.path("word_bpe_49k.json")).fast is None
