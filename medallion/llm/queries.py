@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import alignment, chat, decontaminate, langid, merkle, mixing, packing, quality, rollup, simhash, templates, warc
+from medallion.llm import alignment, chat, decontaminate, langid, merkle, mixing, packing, phrases, quality, rollup, simhash, templates, warc
 from medallion.llm.common import cut, ship
 from medallion.sources.scratch import Scratch
 
@@ -101,6 +101,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(folded, model, also=("doc_id", "held_out"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -120,6 +124,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
+    "op11_collocations": op11_collocations,
     "op12_decontamination": op12_decontamination,
     "op13_alignment": op13_alignment,
 }
@@ -128,5 +133,6 @@ ORACLE: dict[str, str] = {
     "op2_chat_formatting": chat.ORACLE,
     "op6_warc": warc.ORACLE,
     "op8_line_dedup": templates.ORACLE,
+    "op11_collocations": phrases.ORACLE,
     "op12_decontamination": decontaminate.ORACLE,
 }
