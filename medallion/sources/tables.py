@@ -1,7 +1,16 @@
-"""Catalog tables and views: create layers, publish, inspect."""
+"""Catalog tables and views: create layers, publish, inspect.
+
+Without a table format that replaces atomically, a published name is a view over one of its
+versions.  Every write makes a version, a managed table of its own; the view is then
+pointed to it in one catalog operation (``ALTER VIEW``), and versions that were published
+before are dropped by the catalog.  Only tables that carry this library's mark are ever
+dropped, and no folder is removed except through the table that owns it.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
@@ -10,6 +19,15 @@ from pyspark.sql import functions as F
 
 from medallion.sources.scratch import delete_folder
 
+# The table property that says of which published name a table is a version.
+MARK = "medallion.version.of"
+VERSION = r"__v\d{20}[0-9a-f]{8}"
+ASIDE = "__aside"
+
+
+class NotReplaceable(RuntimeError):
+    """The name belongs to something that cannot be set aside and kept."""
+
 
 def ensure_layers(spark: SparkSession, layers: Iterable[str], location: str | None = None) -> None:
     """Create the namespaces that do not exist yet, below ``location`` when given."""
@@ -25,12 +43,18 @@ def publish_table(
     partition_by: Sequence[str] = (),
     coalesce_to: int | None = None,
     properties: Mapping[str, str] | None = None,
+    keep_versions: int = 0,
 ) -> DataFrame:
     """Create or fully replace a table and return it read back from the catalog.
 
     ``provider="iceberg"`` replaces in one atomic step and needs an Iceberg catalog.
-    Other providers write a new table beside the old one and swap them by renaming, so a
-    write that fails leaves the old table as it was.
+    Other providers write a new version and point the published view to it in one catalog
+    operation: whatever fails or is killed at whatever step, the name shows the old or the
+    new contents.  Afterwards all but the last ``keep_versions`` superseded versions are dropped;
+    readers that opened one of those before fail, so keep one where readers overlap.
+
+    A table of that name which this library did not make is set aside under
+    ``<name>__aside`` with its files, and never dropped.
 
     ``coalesce_to`` writes that many files, by as few tasks; partitions are dealt anew by
     their value, so both together are refused.
@@ -56,34 +80,90 @@ def publish_table(
             writer = writer.option(key, value)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        _write_and_swap(df.sparkSession, writer, name)
+        _write_and_point(df.sparkSession, writer, name, keep_versions)
     return df.sparkSession.table(name)
 
 
-def _location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    """The details of a table or view that ``DESCRIBE`` lists behind its columns."""
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return _described(spark, name).get("Type") == "VIEW"
+
+
+def _marked(spark: SparkSession, version: str, name: str) -> bool:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {version}").collect()
+    return any(r["key"] == MARK and r["value"] == name for r in rows)
+
 
+def _names(spark: SparkSession, database: str) -> list[str]:
+    return [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database}").collect() if not r["isTemporary"]]
 
-def _write_and_swap(spark: SparkSession, writer: DataFrameWriter, name: str) -> None:
-    """Each version of a table has a folder of its own, so renaming moves no file."""
+
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """The finished versions of a published name, oldest first."""
     database, _, table = name.rpartition(".")
-    version = uuid.uuid4().hex[:12]
-    root = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-    folder, beside, aside = f"{root}/{table}-{version}", f"{name}__new_{version}", f"{name}__old_{version}"
+    database = database or spark.catalog.currentDatabase()
+    own = re.compile(re.escape(table.lower()) + VERSION)
+    found = sorted(f"{database}.{t}" for t in _names(spark, database) if own.fullmatch(t.lower()))
+    return [v for v in found if _marked(spark, v, name.lower())]
+
+
+def _write_and_point(spark: SparkSession, writer: DataFrameWriter, name: str, keep_versions: int) -> None:
+    database, _, table = name.rpartition(".")
+    database = database or spark.catalog.currentDatabase()
+    now = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    version = f"{table}__v{now}{uuid.uuid4().hex[:8]}".lower()
+    full = f"{database}.{version}"
+    _restore(spark, name)
     try:
-        writer.option("path", folder).saveAsTable(beside)
+        writer.saveAsTable(full)
+        spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ('{MARK}' = '{name.lower()}')")
     except BaseException:
-        spark.sql(f"DROP TABLE IF EXISTS {beside}")
-        delete_folder(spark, folder)
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        # A write that failed before the table was made leaves the folder it would have had.
+        delete_folder(spark, f"{spark.catalog.getDatabase(database).locationUri}/{version}")
         raise
-    old = _location(spark, name) if spark.catalog.tableExists(name) else None
-    if old:
+    _point(spark, name, full)
+    superseded = [v for v in versions(spark, name) if v < full]
+    for old in superseded[: len(superseded) - keep_versions]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def _point(spark: SparkSession, name: str, version: str) -> None:
+    """Show ``version`` under ``name``: one catalog operation if the name is a view or free."""
+    select = f"SELECT * FROM {version}"
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE VIEW {name} AS {select}")
+    elif _is_view(spark, name):
+        spark.sql(f"ALTER VIEW {name} AS {select}")
+    else:
+        aside = f"{name}{ASIDE}"
+        if spark.catalog.tableExists(aside):
+            raise NotReplaceable(f"{name} is a table of someone else, and {aside} is taken: move one of them")
         spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
-    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
-    if old:
-        spark.sql(f"DROP TABLE {aside}")
-        delete_folder(spark, old)
+        try:
+            spark.sql(f"CREATE VIEW {name} AS {select}")
+        except BaseException:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+            raise
+
+
+def _restore(spark: SparkSession, name: str) -> None:
+    """Undo a replacement that was killed after the old table had been set aside."""
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(f"{name}{ASIDE}"):
+        spark.sql(f"ALTER TABLE {name}{ASIDE} RENAME TO {name}")
+
+
+def unpublish(spark: SparkSession, name: str) -> None:
+    """Drop a published name with its versions; nothing that is not the library's own."""
+    own = versions(spark, name)
+    if spark.catalog.tableExists(name) and _is_view(spark, name):
+        spark.sql(f"DROP VIEW {name}")
+    for version in own:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -99,8 +179,9 @@ def publish_sql_view(spark: SparkSession, name: str, select: str) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, layer: str) -> DataFrame:
-    """Tables and views of a layer: ``namespace, table``."""
-    return spark.sql(f"SHOW TABLES IN {layer}").filter("not isTemporary").select(
+    """Published tables and views of a layer: ``namespace, table``; versions are not listed."""
+    shown = ~F.col("isTemporary") & ~F.col("tableName").rlike(f"{VERSION}$")
+    return spark.sql(f"SHOW TABLES IN {layer}").filter(shown).select(
         F.col("namespace"), F.col("tableName").alias("table")
     )
 

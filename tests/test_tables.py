@@ -1,0 +1,133 @@
+"""Publishing never loses a table, a folder or a reader's contents."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import SparkSession
+
+from medallion.sources import tables
+from medallion.sources.tables import list_tables, publish_table, unpublish, versions
+
+
+@pytest.fixture
+def layer(spark, tmp_path, request):
+    name = f"swap_{abs(hash(request.node.name)) % 10**8}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def ids(spark, name):
+    return sorted(r[0] for r in spark.table(name).select("id").collect())
+
+
+def test_each_write_is_a_version_and_old_ones_go(spark, layer, tmp_path):
+    for n in (3, 4, 5):
+        assert publish_table(spark.range(n), f"{layer}.T").count() == n
+        assert len(versions(spark, f"{layer}.T")) == 1
+    assert [r.table.lower() for r in list_tables(spark, layer).collect()] == ["t"]
+    assert len(os.listdir(tmp_path / layer)) == 1
+    for n in (6, 7, 8):
+        publish_table(spark.range(n), f"{layer}.T", keep_versions=1)
+    kept = versions(spark, f"{layer}.t")
+    assert [spark.table(v).count() for v in kept] == [7, 8]
+
+
+def test_another_schema_and_partitioning_replace_the_old_ones(spark, layer):
+    publish_table(spark.range(3), f"{layer}.t")
+    wide = spark.range(6).selectExpr("id", "cast(id % 2 as string) as p", "id * 2 as twice")
+    table = publish_table(wide, f"{layer}.t", partition_by=["p"])
+    assert table.columns == ["id", "twice", "p"] and table.filter("p = '1'").count() == 3
+    assert publish_table(spark.table(f"{layer}.t").filter("twice > 6"), f"{layer}.t").count() == 2
+
+
+def test_a_foreign_table_and_its_folder_stay(spark, layer, tmp_path):
+    folder = str(tmp_path / "elsewhere")
+    spark.range(9).write.parquet(folder)
+    files = sorted(os.listdir(folder))
+    spark.sql(f"CREATE TABLE {layer}.t (id BIGINT) USING parquet LOCATION '{folder}'")
+    spark.range(2).write.saveAsTable(f"{layer}.managed")
+    for name in ("t", "managed"):
+        publish_table(spark.range(4), f"{layer}.{name}")
+        publish_table(spark.range(5), f"{layer}.{name}")
+        assert ids(spark, f"{layer}.{name}") == [0, 1, 2, 3, 4]
+    assert sorted(os.listdir(folder)) == files
+    assert spark.table(f"{layer}.t__aside").count() == 9 and spark.table(f"{layer}.managed__aside").count() == 2
+    unpublish(spark, f"{layer}.t")
+    assert sorted(os.listdir(folder)) == files and spark.table(f"{layer}.t__aside").count() == 9
+    spark.range(1).write.saveAsTable(f"{layer}.t")
+    with pytest.raises(tables.NotReplaceable):
+        publish_table(spark.range(4), f"{layer}.t")
+    assert ids(spark, f"{layer}.t") == [0] and spark.table(f"{layer}.t__aside").count() == 9
+
+
+def test_tables_that_only_look_like_versions_stay(spark, layer):
+    other = f"{layer}.t__v{'0' * 20}{'a' * 8}"
+    spark.range(2).write.saveAsTable(other)
+    spark.range(3).write.saveAsTable(f"{other[:-1]}b")
+    spark.sql(f"ALTER TABLE {other[:-1]}b SET TBLPROPERTIES ('{tables.MARK}' = 'another.t')")
+    for n in (3, 4):
+        publish_table(spark.range(n), f"{layer}.t")
+    assert spark.table(other).count() == 2 and spark.table(f"{other[:-1]}b").count() == 3
+
+
+STEPS = ["ALTER TABLE .* SET TBLPROPERTIES", "ALTER VIEW", "DROP TABLE", "SHOW TBLPROPERTIES", "CREATE VIEW", "RENAME TO"]
+
+
+@pytest.mark.parametrize("old", ["published", "foreign", "none"])
+@pytest.mark.parametrize("step", STEPS)
+def test_a_failure_at_any_step_leaves_old_or_new_contents(spark, layer, monkeypatch, step, old):
+    import re
+
+    name = f"{layer}.t"
+    if old == "published":
+        publish_table(spark.range(3), name)
+    elif old == "foreign":
+        spark.range(3).write.saveAsTable(name)
+    before = spark.catalog.tableExists(name)
+    run, hit = SparkSession.sql, []
+
+    def failing(self, query, *args, **kwargs):
+        if re.search(step, query) and not hit:
+            hit.append(query)
+            raise RuntimeError("killed here")
+        return run(self, query, *args, **kwargs)
+
+    monkeypatch.setattr(SparkSession, "sql", failing)
+    try:
+        publish_table(spark.range(5), name)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(SparkSession, "sql", run)
+    if before:
+        assert ids(spark, name) in ([0, 1, 2], [0, 1, 2, 3, 4])
+    elif spark.catalog.tableExists(name):
+        assert ids(spark, name) == [0, 1, 2, 3, 4]
+    assert publish_table(spark.range(6), name).count() == 6
+    assert len(versions(spark, name)) == 1
+
+
+def test_a_run_killed_after_setting_aside_is_undone(spark, layer):
+    spark.range(3).write.saveAsTable(f"{layer}.t")
+    spark.sql(f"ALTER TABLE {layer}.t RENAME TO {layer}.t__aside")
+    broken = spark.range(5).selectExpr("id", "cast(concat('x', id) as int) as bad")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        publish_table(broken, f"{layer}.t")
+    assert ids(spark, f"{layer}.t") == [0, 1, 2]
+
+
+def test_a_failed_write_leaves_no_folder(spark, layer, tmp_path):
+    publish_table(spark.range(3), f"{layer}.t")
+    before = os.listdir(tmp_path / layer)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        publish_table(spark.range(5).selectExpr("cast(concat('x', id) as int) as bad"), f"{layer}.t")
+    assert os.listdir(tmp_path / layer) == before
+
+
+def test_a_reader_of_a_kept_version_goes_on(spark, layer):
+    publish_table(spark.range(3), f"{layer}.t")
+    reader = spark.table(f"{layer}.t")
+    publish_table(spark.range(5), f"{layer}.t", keep_versions=1)
+    assert reader.count() == 3 and spark.table(f"{layer}.t").count() == 5
