@@ -2,13 +2,15 @@
 
 Adding doubles in another order changes the last digits, so a plain ``sum`` gives
 another answer whenever the shuffle, the file split or a retried task differs.  Here every
-value is taken apart on three power-of-two grids, and each part is added as a whole number:
+value is taken apart into limbs, whole numbers on power-of-two grids from 2^88 down to 2^-73:
 
-    x = top * 2^40 + hi / 2^20 + lo / 2^73
+    x = limb[0] * 2^88 + limb[1] * 2^61 + ... + limb[6] * 2^-73
 
-Every step but the last rounding is exact, so the parts lose nothing of a value above
-2^-73 in steps of that size.  NaN, infinities and values beyond 1e31 have no such parts and
-are added as doubles.
+A limb is what rounding on its grid adds to rounding on the next coarser one.  It has at
+most 27 bits, so limbs add up exactly as ``bigint``, and a group may have 2^36 rows before
+a sum could overflow (which raises).  The sums are put together once a group.  Every step but
+the last rounding is exact; what lies below 2^-73 is left out.  NaN, infinities and values
+from 2^103 on have no limbs and are added as doubles.
 """
 
 from __future__ import annotations
@@ -16,23 +18,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOP, HIGH, LOW = float(1 << 40), float(1 << 20), float(1 << 53)
+# Grid k has steps of 2^-GRIDS[k]; a limb has as many bits as its grid lies below the last one.
+GRIDS = (-88, -61, -34, -7, 20, 47, 73)
+LIMIT = 2.0**103
 
 
-def _whole_sum(part: Column) -> Column:
-    return F.sum(part.cast("decimal(19,0)")).cast("double")
+def _limbs(column: Column) -> list[Column]:
+    """The limbs of a value below the limit, as whole doubles; NULL for a NULL."""
+    rounded = [F.rint(column * F.lit(2.0**grid)) for grid in GRIDS]
+    finer = zip(rounded[1:], rounded, GRIDS[1:], GRIDS, strict=False)
+    return [rounded[0], *(own - coarser * F.lit(2.0 ** (fine - coarse)) for own, coarser, fine, coarse in finer)]
+
+
+def _whole(parts: list[Column], grids: tuple[int, ...]) -> Column:
+    """The sums of some neighbouring grids as one whole number of steps of the finest, as double."""
+    wide = [part.cast("decimal(20,0)") * F.lit(2 ** (grids[-1] - grid)).cast("decimal(17,0)") for part, grid in zip(parts, grids, strict=True)]
+    total = wide[0]
+    for part in wide[1:]:
+        total = total + part
+    return total.cast("double")
 
 
 def repeatable_sum(column: Column) -> Column:
     """Sum of a double column as double; NULL when there is no value."""
-    top = (column / F.lit(TOP)).try_cast("bigint")
-    rest = (column - top.cast("double") * F.lit(TOP)) * F.lit(HIGH)
-    high = F.rint(rest)
-    low = F.rint((rest - high) * F.lit(LOW))
-    exact = _whole_sum(top) * F.lit(TOP) + (
-        _whole_sum(high.cast("bigint")) / F.lit(HIGH) + _whole_sum(low.cast("bigint")) / F.lit(HIGH * LOW)
-    )
-    odd = F.sum(F.when(top.isNull(), column))
+    usual = F.abs(column) < F.lit(LIMIT)
+    sums = [F.sum(limb.cast("bigint")) for limb in _limbs(F.when(usual, column))]
+    top, high, low = _whole(sums[:3], GRIDS[:3]), _whole(sums[3:5], GRIDS[3:5]), _whole(sums[5:], GRIDS[5:])
+    exact = top * F.lit(2.0**34) + (high / F.lit(2.0**20) + low / F.lit(2.0**73))
+    odd = F.sum(F.when(~usual, column))
     return F.coalesce(exact + odd, exact, odd)
 
 

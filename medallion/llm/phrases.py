@@ -39,7 +39,7 @@ SCALE = 1_000_000
 GROUP_LEAVES = 1 << 20
 CLASSES, MOST_CLASSES = 1 << 16, 1 << 22
 # Words a task merges to leaves at a time.
-TASK_WORDS = 1 << 20
+TASK_WORDS = 1 << 18
 SALTS = 64
 # Few but large rows: without these, a task would hold a hundred of them before it writes one.
 FILES = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size": str(32 << 20)}
@@ -128,12 +128,15 @@ def fragments(docs: DataFrame, text_col: str, lang_col: str, depth: int) -> Data
     return text.filter(F.col("text").isNotNull()).mapInArrow(run, FRAGMENT)
 
 
-def _rows(batch: pa.RecordBatch, depth: int) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
-    """(lang, words, leaves, counts) of the fragments of a batch."""
-    for row in batch.to_pylist():
-        words = row["words"].split(b"\n") if row["words"] else []
-        leaves = np.frombuffer(row["leaves"], np.uint32).reshape(-1, depth)
-        yield row["lang"], words, leaves, np.frombuffer(row["counts"], np.int64)
+def _rows(batch: pa.RecordBatch, depth: int, counted: bool = True) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray | None]]:
+    """(lang, words, leaves, counts) of the fragments of a batch, one at a time."""
+    lang, words, leaves = (batch.column(c) for c in ("lang", "words", "leaves"))
+    counts = batch.column("counts") if counted else None
+    for i in range(batch.num_rows):
+        said = words[i].as_py()
+        made = np.frombuffer(leaves[i].as_buffer(), np.uint32).reshape(-1, depth)
+        n = np.frombuffer(counts[i].as_buffer(), np.int64) if counted else None
+        yield lang[i].as_py(), said.split(b"\n") if said else [], made, n
 
 
 def _classes(lang: str, words: list[bytes], leaves: np.ndarray, classes: int) -> Iterator[np.ndarray]:
@@ -154,14 +157,16 @@ class Routes:
         self.classes = classes
         self.tables: list[np.ndarray] = []
 
-    def of(self, lang: str, words: list[bytes], leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(group, prefix length) of every leaf; group -1 where all known depths split it."""
+    def of(self, lang: str, words: list[bytes], leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """(group, prefix length, class at the next depth) of every leaf; group -1 where all known depths split it."""
         group, length = np.full(len(leaves), -1, dtype=np.int64), np.zeros(len(leaves), dtype=np.int64)
-        for depth, (table, own) in enumerate(zip(self.tables, _classes(lang, words, leaves, self.classes), strict=False), 1):
+        for depth, own in enumerate(_classes(lang, words, leaves, self.classes)):
+            if depth == len(self.tables):
+                return group, length, own
             open_ = group < 0
-            group[open_] = table[own[open_]]
-            length[open_] = depth
-        return group, length
+            group[open_] = self.tables[depth][own[open_]]
+            length[open_] = depth + 1
+        return group, length, None
 
     def add(self, rows: np.ndarray, budget: int, first: int, last: bool) -> int:
         """Put the classes of the next depth into groups, the largest into the emptiest.
@@ -186,20 +191,19 @@ class Routes:
 
 def _class_rows(stored: DataFrame, routes: Routes, depth: int) -> np.ndarray:
     """Leaf rows in every prefix class of the next depth, of leaves that have no group yet."""
-    level, classes = len(routes.tables), routes.classes
+    classes = routes.classes
     shared = stored.sparkSession.sparkContext.broadcast(routes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(classes, dtype=np.int64)
         for batch in batches:
-            for lang, words, leaves, _ in _rows(batch, depth):
-                own = list(_classes(lang, words, leaves, classes))[level]
-                group, _ = shared.value.of(lang, words, leaves)
+            for lang, words, leaves, _ in _rows(batch, depth, counted=False):
+                group, _, own = shared.value.of(lang, words, leaves)
                 total += np.bincount(own[group < 0], minlength=classes)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["class", "n"])
 
-    counted = stored.mapInArrow(run, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
+    counted = stored.select("lang", "words", "leaves").mapInArrow(run, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
     rows = np.zeros(classes, dtype=np.int64)
     rows[counted["class"].to_numpy()] = counted["n"].to_numpy()
     return rows
@@ -214,7 +218,7 @@ def _routed(stored: DataFrame, routes: Routes, depth: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, words, leaves, counts in _rows(batch, depth):
-                group, length = shared.value.of(lang, words, leaves)
+                group, length, _ = shared.value.of(lang, words, leaves)
                 order = np.argsort(group, kind="stable")
                 made = []
                 for at in np.split(order, np.flatnonzero(np.diff(group[order])) + 1) if len(order) else ():

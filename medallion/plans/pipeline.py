@@ -13,7 +13,7 @@ from medallion.operators.numbering import RANGE_ROWS
 from medallion.operators.quality import RowCounter, require_valid, summary_columns, valid_only
 from medallion.plans import models, preset
 from medallion.plans.assertions import preset_checks
-from medallion.plans.marts import MARTS
+from medallion.plans.marts import MARTS, all_marts, pick_marts
 from medallion.session import apply_settings
 from medallion.sources.files import MONTH_LAYOUT, read_lookup, read_months, require_inputs
 from medallion.sources.scratch import Scratch
@@ -177,7 +177,7 @@ def _tables(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
 
 
 def gold(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
-    """Publish fact, dimension and marts; the marts read the finished fact.
+    """Publish fact, dimension and marts; the finished fact is scanned once for all marts.
 
     With ``check_before_publish`` the fact and the marts are built in scratch and all
     checks must pass before the first gold table is replaced.
@@ -195,11 +195,10 @@ def gold(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
         dim = models.build_dim_zone(spark.table(config.staging(STAGED_ZONES)))
         if not config.check_before_publish:
             tables = {FACT: publish(FACT, fact), DIM_ZONE: publish(DIM_ZONE, dim)}
-            marts = {name: publish(name, build(tables[FACT])) for name, build in MARTS.items()}
-            return {**tables, **marts}
+            marts = pick_marts(scratch.keep(all_marts(tables[FACT]), "marts"))
+            return {**tables, **{name: publish(name, df) for name, df in marts.items()}}
         ready = {FACT: scratch.keep(fact, FACT), DIM_ZONE: dim}
-        for name, build in MARTS.items():
-            ready[name] = scratch.keep(build(ready[FACT]), name)
+        ready |= pick_marts(scratch.keep(all_marts(ready[FACT]), "marts"))
         require_passed(run_checks(preset_checks({**_tables(spark, config), **ready})))
         return {name: publish(name, df) for name, df in ready.items()}
 

@@ -5,8 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from medallion.functions import canonicalise, repeatable_avg, repeatable_sum, type_columns
+from medallion.functions import canonicalise, repeatable_avg, repeatable_sum, sums, type_columns
 from medallion.plans import models
+from tests.conftest import plan
 
 
 def column(df, name):
@@ -153,3 +154,29 @@ def test_large_values_cancel_exactly(spark):
     assert total(spark, [1e300, 1e300]) == 2e300
     assert total(spark, [float("inf"), 1.0]) == float("inf")
     assert total(spark, []) is None
+
+
+def test_limbs_put_a_value_together_again():
+    """Each limb is a whole number of few bits, and together they are the value."""
+    from fractions import Fraction
+
+    rng = random.Random(6)
+    values = [rng.uniform(-1, 1) * 10 ** rng.uniform(-18, 30.9) for _ in range(2000)] + [0.1, 2.0**33, 2.0**102, -(2.0**20) - 0.5]
+    for x in values:
+        rounded = [float(round(Fraction(x) * Fraction(2) ** g)) for g in sums.GRIDS]
+        limbs = [rounded[0]] + [
+            own - coarse * 2.0 ** (f - c)
+            for own, coarse, f, c in zip(rounded[1:], rounded, sums.GRIDS[1:], sums.GRIDS, strict=False)
+        ]
+        assert all(limb == int(limb) and abs(limb) <= 2**26 for limb in limbs)
+        total = sum(Fraction(limb) / Fraction(2) ** g for limb, g in zip(limbs, sums.GRIDS, strict=True))
+        assert abs(total - Fraction(x)) <= Fraction(2) ** -74
+
+
+def test_sums_need_no_wide_decimal_buffers(spark):
+    made = spark.range(10).selectExpr("id % 3 as k", "cast(id as double) as x").groupBy("k").agg(
+        repeatable_sum(F.col("x")).alias("s"), repeatable_avg(F.col("x")).alias("a")
+    )
+    partial = [line for line in plan(made).splitlines() if "partial_sum" in line]
+    assert partial and "decimal" not in partial[-1] and "HashAggregate" in partial[-1]
+    assert partial[-1].count("partial_sum") == len(sums.GRIDS) + 1

@@ -242,6 +242,29 @@ MARTS = {
   FROM staged GROUP BY pickup_date, payment_type""",
 }
 
+def _all_marts() -> str:
+    """Rows of the four marts with every key and every measure."""
+    keys = ["pickup_date", "pickup_borough", "pickup_zone", "pickup_hour", "payment_type"]
+    kinds = ["DATE", "VARCHAR", "VARCHAR", "INTEGER", "VARCHAR"]
+    groups = {
+        "mart_daily_kpis": ["pickup_date"],
+        "mart_zone_performance": ["pickup_borough", "pickup_zone"],
+        "mart_hourly_demand": ["pickup_date", "pickup_hour", "pickup_borough"],
+        "mart_payment_mix": ["pickup_date", "payment_type"],
+    }
+    measures = f"""count(*) AS trips, cast(sum(passenger_count) AS BIGINT) AS passengers,
+      cast(sum(CASE WHEN is_airport_trip THEN 1 ELSE 0 END) AS BIGINT) AS airport_trips,
+      {_sum('total_amount')} AS sum_total, {_avg('total_amount')} AS avg_total, {_avg('tip_amount')} AS avg_tip,
+      {_avg('trip_distance')} AS avg_distance, {_avg('trip_duration_min')} AS avg_duration,
+      {_avg('trip_speed_mph')} AS avg_speed, {_avg('fare_per_mile')} AS avg_fare_per_mile"""
+    return " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, "
+        + ", ".join(key if key in own else f"CAST(NULL AS {kind}) AS {key}" for key, kind in zip(keys, kinds, strict=True))
+        + f", {measures} FROM staged GROUP BY {', '.join(own)}"
+        for mart, own in groups.items()
+    )
+
+
 # Every step by name, in order of dependency.
 STEPS = {
     "raw_trips": _raw_trips(TRIPS),
@@ -405,6 +428,7 @@ ORACLE: dict[str, str] = {
   o_orderdate NULLS LAST, o_orderkey NULLS LAST) AS order_number, o_orderstatus, o_orderdate,
   o_orderkey FROM orders""",
     **{name: _with(f"SELECT * FROM {name}") for name in MARTS},
+    "marts_one_scan": _with(_all_marts()),
     "check_not_null": _with(
         "SELECT pickup_ts, pu_location_id, do_location_id, total_amount FROM staged"
         " WHERE pickup_borough IS NULL"

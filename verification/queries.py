@@ -21,7 +21,7 @@ from medallion.operators.numbering import global_row_number
 from medallion.operators.quality import RowCounter, dq_gate, dq_summary
 from medallion.plans import models, pipeline, preset
 from medallion.plans.assertions import negative, preset_checks
-from medallion.plans.marts import MARTS, hourly_demand
+from medallion.plans.marts import MARTS, all_marts, hourly_demand
 from medallion.session import apply_settings
 from medallion.sources.files import input_coverage, read_lookup, read_months
 from medallion.sources.scratch import Scratch
@@ -222,6 +222,11 @@ def _mart(name: str) -> Query:
     return build
 
 
+def marts_one_scan(spark, sf_dir):
+    """All four marts out of one scan of the fact, as rows of one frame."""
+    return all_marts(_fact(spark, sf_dir))
+
+
 def check_not_null_rows(spark, sf_dir):
     return check_not_null(_fact(spark, sf_dir), "pickup_borough").select(
         "pickup_ts", "pu_location_id", "do_location_id", "total_amount"
@@ -425,6 +430,7 @@ QUERIES: dict[str, Query] = {
     "events_row_number": _query(events_row_number),
     "orders_row_number": _query(orders_row_number),
     **{name: _query(_mart(name)) for name in MARTS},
+    "marts_one_scan": _query(marts_one_scan),
     "check_not_null": _query(check_not_null_rows),
     "check_unique": _query(check_unique_values),
     "check_trip_amounts": _query(check_trip_amounts),
