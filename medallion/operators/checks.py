@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -38,32 +38,74 @@ def check_no_rows(df: DataFrame, *offends: Column) -> DataFrame:
     return df.filter(reduce(lambda a, b: a | b, offends))
 
 
+@dataclass(frozen=True)
+class ViewOf:
+    """That a table is ``columns`` of those rows of ``base`` for which ``where`` is true."""
+
+    base: DataFrame
+    columns: Mapping[str, Column]
+    where: Column
+
+    def frame(self) -> DataFrame:
+        return self.base.filter(self.where).select(*[c.alias(name) for name, c in self.columns.items()])
+
+
 @dataclass(frozen=True)
 class TableChecks:
-    """The checks of one table; ``no_rows`` maps a test name to its conditions."""
+    """The checks of one table; ``no_rows`` maps a test name to its conditions.
+
+    ``view`` says what the table is made of.  It is believed only if ``df`` has the very plan
+    that follows from it; the rows are then checked while the base is read.
+    """
 
     table: str
     df: DataFrame
     not_null: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()
     no_rows: dict[str, tuple[Column, ...]] = field(default_factory=dict)
+    view: ViewOf | None = None
 
+    def lineage(self) -> ViewOf | None:
+        return self.view if self.view is not None and self.df.sameSemantics(self.view.frame()) else None
 
-def _row_checks(tables: list[TableChecks]) -> DataFrame | None:
-    """All row conditions of tables that are the same frame, in one pass over it."""
-    conditions = [
-        (checks.table, "not_null", c, F.col(c).isNull()) for checks in tables for c in checks.not_null
-    ]
-    conditions += [
-        (checks.table, test, None, reduce(lambda a, b: a | b, offends))
-        for checks in tables
-        for test, offends in checks.no_rows.items()
+    def conditions(self) -> list[tuple[str, str | None, Column]]:
+        """(test, column, what offends) of every row check."""
+        found = [("not_null", c, F.col(c).isNull()) for c in self.not_null]
+        return found + [(test, None, reduce(lambda a, b: a | b, c)) for test, c in self.no_rows.items()]
+
+
+def _row_checks(source: DataFrame, tables: list[tuple[TableChecks, ViewOf | None]]) -> DataFrame | None:
+    """All row conditions of tables over the same rows, in one pass over them.
+
+    Views come first, one by one: their columns are laid over the source's as a struct, which
+    the optimizer takes apart again, so only what is checked is read.
+    """
+    frame, found = source, []
+
+    def flags(checks: TableChecks) -> list[Column]:
+        made = []
+        for test, column, offends in checks.conditions():
+            made.append(F.coalesce(offends, F.lit(False)).alias(f"c{len(found)}"))
+            found.append((checks.table, test, column))
+        return made
+
+    direct = [c for checks, view in tables if view is None for c in flags(checks)]
+    views = [(checks, view) for checks, view in tables if view is not None and checks.conditions()]
+    laid = [
+        F.when(view.where, F.struct(*[c.alias(name) for name, c in view.columns.items()])).alias(f"v{i}")
+        for i, (_, view) in enumerate(views)
     ]
-    if not conditions:
+    if not direct and not views:
         return None
-    counted = tables[0].df.agg(
-        *[F.count_if(offends).alias(f"c{i}") for i, (*_, offends) in enumerate(conditions)]
-    )
+    frame = source.select(*direct, *laid)
+    for i, (checks, view) in enumerate(views):
+        done = [F.col(f"c{n}") for n in range(len(found))]
+        rest = [F.col(f"v{n}") for n in range(i, len(views))]
+        inside = F.col(f"v{i}").isNotNull()
+        own = frame.select(*done, *rest, inside.alias("_inside"), *[F.col(f"v{i}.`{name}`").alias(name) for name in view.columns])
+        made = [(F.col("_inside") & flag).alias(f"c{len(done) + n}") for n, flag in enumerate(flags(checks))]
+        frame = own.select(*done, *made, *rest[1:])
+    counted = frame.agg(*[F.count_if(f"c{i}").alias(f"c{i}") for i in range(len(found))])
     results = F.array(
         *[
             F.struct(
@@ -72,7 +114,7 @@ def _row_checks(tables: list[TableChecks]) -> DataFrame | None:
                 F.lit(column).cast("string").alias("column"),
                 F.col(f"c{i}").alias("failures"),
             )
-            for i, (table, test, column, _) in enumerate(conditions)
+            for i, (table, test, column) in enumerate(found)
         ]
     )
     return counted.select(F.inline(results))
@@ -94,14 +136,21 @@ def _unique_check(checks: TableChecks, column: str) -> DataFrame:
 def run_checks(tables: Iterable[TableChecks]) -> DataFrame:
     """``test, table, column, failures, passed``: one row per check.
 
-    Tables given as one and the same frame share one pass.
+    Tables with the same plan share one pass, and so do views with what they are made of.
     """
-    shared: dict[int, list[TableChecks]] = {}
+    shared: list[tuple[DataFrame, list[tuple[TableChecks, ViewOf | None]]]] = []
     parts: list[DataFrame] = []
     for checks in tables:
-        shared.setdefault(id(checks.df), []).append(checks)
+        view = checks.lineage()
+        source = checks.df if view is None else view.base
+        for known, group in shared:
+            if known.sameSemantics(source):
+                group.append((checks, view))
+                break
+        else:
+            shared.append((source, [(checks, view)]))
         parts += [_unique_check(checks, column) for column in checks.unique]
-    parts += [rows for group in shared.values() if (rows := _row_checks(group)) is not None]
+    parts += [rows for source, group in shared if (rows := _row_checks(source, group)) is not None]
     if not parts:
         raise ValueError("no checks given")
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)

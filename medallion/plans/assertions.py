@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.operators.checks import TableChecks
+from medallion.operators.checks import TableChecks, ViewOf
 
 # Table -> columns, as published.
 NOT_NULL = {
@@ -47,8 +47,8 @@ def negative(table: str) -> tuple[Column, ...]:
     return tuple(F.col(c) < 0 for c in NONNEGATIVE[table][1])
 
 
-def preset_checks(tables: Mapping[str, DataFrame]) -> list[TableChecks]:
-    """The checks for every table in ``tables`` that has some."""
+def preset_checks(tables: Mapping[str, DataFrame], views: Mapping[str, ViewOf] | None = None) -> list[TableChecks]:
+    """The checks for every table in ``tables`` that has some; ``views`` says which are views of what."""
     return [
         TableChecks(
             name,
@@ -56,6 +56,7 @@ def preset_checks(tables: Mapping[str, DataFrame]) -> list[TableChecks]:
             NOT_NULL.get(name, ()),
             UNIQUE.get(name, ()),
             {NONNEGATIVE[name][0]: negative(name)} if name in NONNEGATIVE else {},
+            (views or {}).get(name),
         )
         for name, df in tables.items()
         if name in NOT_NULL or name in UNIQUE or name in NONNEGATIVE

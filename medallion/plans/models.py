@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from medallion.functions import (
     type_columns,
     upper_trim,
 )
+from medallion.operators.checks import ViewOf
 from medallion.operators.dedup import dedup
 from medallion.operators.enrich import BROADCAST_BYTES, enrich
 from medallion.operators.numbering import RANGE_ROWS, global_row_number
@@ -137,6 +140,12 @@ def stage_trips(enriched: DataFrame) -> DataFrame:
     return enriched.filter(F.col(preset.VALID)).selectExpr(*_contract(preset.STAGING_TRIPS))
 
 
+def staged_view(enriched: DataFrame, columns: Sequence[str] | None = None) -> ViewOf:
+    """``stage_trips``, or some of its columns, as a view of the enriched trips."""
+    spec = {out: F.expr(f"cast(`{source}` AS {kind})") for out, source, kind in preset.STAGING_TRIPS}
+    return ViewOf(enriched, {c: spec[c] for c in columns or spec}, F.col(preset.VALID))
+
+
 def stage_zones(zones: DataFrame) -> DataFrame:
     return zones.selectExpr(*_contract(preset.STAGING_ZONES))
 

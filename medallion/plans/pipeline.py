@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
-from medallion.operators.checks import collected, require_passed, run_checks
+from medallion.operators.checks import ViewOf, collected, require_passed, run_checks
 from medallion.operators.enrich import BROADCAST_BYTES
 from medallion.operators.numbering import RANGE_ROWS
 from medallion.operators.quality import RowCounter, require_valid, summary_columns, valid_only
@@ -176,6 +176,11 @@ def _tables(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
     }
 
 
+def _views(tables: Mapping[str, DataFrame]) -> dict[str, ViewOf]:
+    """The staged trips are a view of the enriched ones, so one scan checks both."""
+    return {STAGED_TRIPS: models.staged_view(tables[SILVER_ENRICHED])}
+
+
 def gold(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
     """Publish fact, dimension and marts; the finished fact is scanned once for all marts.
 
@@ -199,7 +204,8 @@ def gold(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
             return {**tables, **{name: publish(name, df) for name, df in marts.items()}}
         ready = {FACT: scratch.keep(fact, FACT), DIM_ZONE: dim}
         ready |= pick_marts(scratch.keep(all_marts(ready[FACT]), "marts"))
-        require_passed(run_checks(preset_checks({**_tables(spark, config), **ready})))
+        tables = {**_tables(spark, config), **ready}
+        require_passed(run_checks(preset_checks(tables, _views(tables))))
         return {name: publish(name, df) for name, df in ready.items()}
 
 
@@ -207,8 +213,8 @@ def check(spark: SparkSession, config: RunConfig) -> DataFrame:
     """The report of all checks over the published tables."""
     apply_settings(spark)
     names = [FACT, *MARTS]
-    published = {name: spark.table(config.gold(name)) for name in names}
-    return run_checks(preset_checks({**_tables(spark, config), **published}))
+    tables = {**_tables(spark, config), **{name: spark.table(config.gold(name)) for name in names}}
+    return run_checks(preset_checks(tables, _views(tables)))
 
 
 def run(spark: SparkSession, config: RunConfig) -> DataFrame:

@@ -1,16 +1,22 @@
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
 from medallion.operators.checks import (
     ChecksFailed,
     TableChecks,
+    ViewOf,
     check_no_rows,
     check_not_null,
     check_unique,
     require_passed,
     run_checks,
 )
-from medallion.plans.assertions import NONNEGATIVE, NOT_NULL, UNIQUE
+from medallion.plans import pipeline
+from medallion.plans.assertions import NONNEGATIVE, NOT_NULL, UNIQUE, preset_checks
+from tests.conftest import plan
+from tests.test_pipeline import config  # noqa: F401
 
 
 @pytest.fixture(scope="module")
@@ -49,3 +55,53 @@ def test_preset_has_25_checks():
 def test_no_checks_is_an_error():
     with pytest.raises(ValueError):
         run_checks([])
+
+
+def rows(report):
+    return sorted(tuple(r) for r in report.collect())
+
+
+def test_a_view_is_checked_while_its_base_is_read(spark, tmp_path):
+    path = str(tmp_path / "base")
+    data = [(1, -1.0, True), (2, None, True), (3, -5.0, False), (None, 4.0, True), (5, 1.0, None)]
+    spark.createDataFrame(data, "k int, v double, ok boolean").write.parquet(path)
+    base, again = spark.read.parquet(path), spark.read.parquet(path)
+    view = ViewOf(base, {"v": F.col("k").cast("double"), "half": F.col("v") / 2}, F.col("ok"))
+    made = base.filter(F.col("ok")).select(F.col("k").cast("double").alias("v"), (F.col("v") / 2).alias("half"))
+
+    def checks(view, other):
+        return run_checks(
+            [
+                TableChecks("base", base, ("k", "v"), (), {"low": (F.col("v") < 0,)}),
+                TableChecks("view", made, ("v", "half"), (), {"low": (F.col("half") < 0, F.col("v") > 4)}, view),
+                TableChecks("again", other, ("k",)),
+                TableChecks("second", made, ("half",), (), {}, view),
+            ]
+        )
+
+    together, apart = checks(view, again), checks(None, again.limit(5))
+    assert rows(together) == rows(apart)
+    assert ("low", "view", None, 1, False) in rows(together) and ("not_null", "view", "half", 1, False) in rows(together)
+    assert plan(together).count("FileScan parquet") == 1 < plan(apart).count("FileScan parquet")
+
+
+def test_a_wrong_claim_about_a_view_is_not_believed(spark, tmp_path):
+    path = str(tmp_path / "base")
+    spark.createDataFrame([(1, True), (None, False)], "k int, ok boolean").write.parquet(path)
+    base = spark.read.parquet(path)
+    claim = ViewOf(base, {"k": F.col("k")}, F.col("ok"))
+    assert TableChecks("t", base.select("k"), view=claim).lineage() is None
+    assert rows(run_checks([TableChecks("t", base.select("k"), ("k",), view=claim)])) == [("not_null", "t", "k", 1, False)]
+
+
+def test_published_staging_is_checked_with_its_table(spark, config):
+    """The catalog view's plan is the one that the models give, so the claim holds for it."""
+    pipeline.run(spark, dataclasses.replace(config, fail_on_checks=False))
+    tables = pipeline._tables(spark, config)
+    claimed = {c.table: c.lineage() for c in preset_checks(tables, pipeline._views(tables))}
+    assert claimed[pipeline.STAGED_TRIPS] is not None
+    report = pipeline.check(spark, config)
+    text = plan(report)
+    # Enriched and staged in one scan; the fact, two zone tables with their unique checks, four marts and one unique check.
+    trips = [line for line in text.splitlines() if "FileScan" in line and "stg" not in line and "total_amount" in line and "silver" in line]
+    assert len(trips) == 1, text
