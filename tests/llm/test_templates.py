@@ -1,7 +1,7 @@
 import math
 import random
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,11 +52,40 @@ def test_lines_that_only_share_a_leaf_stay(spark):
     assert run(spark, texts) == dict(texts)
 
 
-def test_two_documents_are_not_enough(spark):
-    texts = [(1, "shared line of words\na"), (2, "shared line of words\nb"), (2, "shared line of words\nb")]
+def test_two_documents_are_enough_for_equal_lines_only(spark):
+    twenty = " ".join(f"w{chr(97 + i)}" for i in range(20))
+    texts = [(1, f"{twenty}\na"), (2, f"{twenty}\nb"), (2, f"{twenty}\nb"), (3, "c x y z"), (3, "c x y z")]
+    docs = frame(spark, texts)
+    got = sorted((r.doc_id, r.text) for r in templates.drop_recurring_lines(docs).collect())
+    assert got == [(1, f"{twenty}\na"), (2, "b"), (2, "b"), (3, "c x y z"), (3, "c x y z")]
+    texts = [(1, "at 10 we met our friends"), (2, "at 11 we met our friends")]
     assert run(spark, texts) == dict(texts)
 
 
+def test_many_lines_of_one_document_count_once(spark):
+    """Twenty lines of one document do not make its value constant."""
+    line = "our shop in {} is open every day"
+    texts = [(0, "\n".join(line.format("Paris") for _ in range(20)))]
+    texts += [(i, f"{i}\n{line.format(city)}") for i, city in enumerate(("Rome", "Oslo", "Paris"), 1)]
+    got = run(spark, texts)
+    assert got == {0: texts[0][1], 1: "1", 2: "2", 3: "3"}
+    assert got == without(texts, brute_force(texts))
+
+
+@pytest.mark.parametrize("place", [0, 1, 2])
+def test_a_variable_leading_word_is_generalised(spark, place):
+    names = ["Ann", "Bob", "Cid", "Dora", "Eve", "Finn", "Gus", "Hal"]
+    words = ["Dear", "friend", "many", "thanks", "for", "all", "your", "help"]
+    texts = []
+    for i, name in enumerate(names):
+        own = list(words)
+        own[place] = name
+        texts.append((i, f"{name}\n{' '.join(own)}"))
+    got = run(spark, texts)
+    assert got == {0: texts[0][1], **{i: names[i] for i in range(1, 8)}}
+    assert got == without(texts, brute_force(texts))
+
+
 @pytest.mark.parametrize("token", ["x" * 100_000, "1" * 100_000, ("x" * 50_000) + "1"])
 def test_very_long_tokens(spark, token):
     texts = [(i, f"{i}\n{token} is a long token here") for i in range(3)]
@@ -74,34 +103,71 @@ def test_nulls_blank_lines_repeats_and_empty_tables(spark):
     assert templates.drop_recurring_lines(docs.filter(F.lit(False))).count() == 0
 
 
-def brute_force(texts, depth=3, min_docs=3, min_constant=0.6, min_share=0.5):
-    """Which lines each document loses; every token is a field."""
-    leaves = defaultdict(lambda: defaultdict(set))
+def brute_force(texts, depth=3, min_docs=3, min_constant=0.6, min_share=0.5, many=3, min_equal=2):
+    """Which lines each document loses, by sets of documents."""
+    lines = []
     for d, text in texts:
         for pos, line in enumerate(text.split("\n")):
-            tokens = tuple("<*>" if re.search("[0-9]", t) else t for t in line.split())
-            if tokens:
-                leaves[len(tokens), tokens[:depth]][tokens].add((d, pos))
-    lost = defaultdict(set)
-    for lines in leaves.values():
-        docs, places = Counter(), defaultdict(set)
-        for tokens, found in lines.items():
+            if line.split():
+                tokens = tuple("<*>" if re.search("[0-9]", t) else t for t in line.split())
+                lines.append((d, pos, " ".join(line.split()), tokens))
+    takers, children = defaultdict(set), defaultdict(set)
+    for d, _, _, tokens in lines:
+        takers[len(tokens), tokens[:depth]].add(d)
+    for size, lead in takers:
+        for j, token in enumerate(lead):
+            if token != "<*>":
+                children[size, j, lead[:j] + lead[j + 1 :]].add((size, lead))
+    reached = {node: sum(len(takers[p]) for p in paths) for node, paths in children.items() if len(paths) >= many}
+
+    def leaf(tokens):
+        size, lead = len(tokens), tokens[:depth]
+        nodes = [(size, j, lead[:j] + lead[j + 1 :]) for j in range(len(lead)) if lead[j] != "<*>"]
+        nodes = [n for n in nodes if n in reached] if len(takers[size, lead]) < min_docs else []
+        return max(nodes, key=lambda n: (reached[n], -n[1])) if nodes else (size, None, lead)
+
+    leaves, equal, lost = defaultdict(list), defaultdict(set), defaultdict(set)
+    for d, pos, said, tokens in lines:
+        leaves[leaf(tokens)].append((d, pos, tokens))
+        equal[said].add(d)
+    first = {}
+    for (size, j, _), found in leaves.items():
+        if len({d for d, _, _ in found}) < min_docs or len({t for _, _, t in found}) < 2:
+            continue
+        docs, places = defaultdict(set), defaultdict(list)
+        for d, _, tokens in found:
             for at in enumerate(tokens):
-                docs[at] += len({d for d, _ in found})
-        for tokens, found in lines.items():
-            counts = [docs[at] * (at[1] != "<*>") for at in enumerate(tokens)]
-            least = sorted(counts, reverse=True)[math.ceil(min_constant * len(tokens)) - 1]
+                docs[at].add(d)
+        for d, pos, tokens in found:
+            counts = [0 if t == "<*>" or i == j else len(docs[i, t]) for i, t in enumerate(tokens)]
+            least = sorted(counts, reverse=True)[math.ceil(min_constant * size) - 1]
             if least >= min_docs:
                 bound = max(min_docs, min_share * least)
-                places[tuple(t if n >= bound else None for t, n in zip(tokens, counts))] |= found
+                places[tuple(t if n >= bound else None for t, n in zip(tokens, counts))].append((d, pos))
         for found in places.values():
             if len({d for d, _ in found}) >= min_docs:
-                for d, pos in found:
-                    if d != min(found)[0]:
-                        lost[d].add(pos)
+                first |= dict.fromkeys(found, min(found)[0])
+    for d, pos, said, _ in lines:
+        keeper = first.get((d, pos), min(equal[said]) if len(equal[said]) >= min_equal else d)
+        if keeper != d:
+            lost[d].add(pos)
     return lost
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_equals_brute_force(spark, seed):
+    rng = random.Random(seed)
+    word = lambda: rng.choice(["a", "b", "c", "d", "e", "7"])
+    frames = [[word() if rng.random() < 0.7 else None for _ in range(rng.choice([2, 3, 5, 8]))] for _ in range(8)]
+    texts = []
+    for d in range(60):
+        own = [" ".join(w or word() for w in rng.choice(frames)) for _ in range(rng.randrange(1, 5))]
+        own += [f"x{'uvw'[rng.randrange(3)]} " * rng.randrange(1, 3)] + own[: rng.randrange(2)]
+        texts.append((d, "\n".join(rng.sample(own, len(own)))))
+    lost = brute_force(texts)
+    assert lost and run(spark, texts) == without(texts, lost)
+
+
 def without(texts, lost):
     return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in lost.get(d, ())) for d, t in texts}
 
