@@ -36,9 +36,13 @@ BATCH = 16
 RATE = 0.5
 SEED = 7
 VALIDATION = 5  # every fifth sampled document is kept from training
-# Asked of what is accepted; labels may be wrong in a few of a hundred rows, so not more.
-PRECISION = 0.95
+# Labels may be wrong, so scores are judged beside the precision that all pieces reach against them:
+# low scores are rejected as far as they are right less often than this share of it, ...
+WORSE = 0.6
+# ... at most this share of the pieces, and whatever scores below this share of it.
+MOST_REJECTED = 0.2
 LEAST_CONFIDENCE = 0.5
+HOT_LABELS = 1_000
 # Multipliers of the subword hash: any odd 32-bit numbers.
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
 BLOCK = 1 << 18
@@ -163,7 +167,11 @@ def train(texts: list[str], labels: list[str], validation: list[bool]) -> Langua
 
 
 def calibrate(model: LanguageModel, grams: list[np.ndarray], target: np.ndarray) -> LanguageModel:
-    """Temperature of least log loss, then the lowest threshold with enough precision."""
+    """Temperature of least log loss, then a threshold below which scores are worth little.
+
+    Wrong labels lower the precision of high and low scores alike.  So only what is clearly
+    worse than the rest is rejected, and never more than a share of the pieces.
+    """
     if not len(grams):
         return model
     logits = np.stack([model.table[g].mean(axis=0) for g in grams]) + model.bias
@@ -175,16 +183,34 @@ def calibrate(model: LanguageModel, grams: list[np.ndarray], target: np.ndarray)
     model.temperature = float(min(np.geomspace(0.05, 5, 81), key=loss))
     p = softmax(logits / model.temperature)
     top, right = p.max(axis=1), p.argmax(axis=1) == target
-    order = np.argsort(-top, kind="stable")
-    ends = np.flatnonzero(np.r_[np.diff(top[order]) != 0, True])  # equal scores go together
-    precision = np.cumsum(right[order])[ends] / (ends + 1)
-    enough = np.flatnonzero(precision >= PRECISION)
-    last = enough[-1] if len(enough) else precision.argmax()
-    if last < len(ends) - 1:
-        model.threshold = max(LEAST_CONFIDENCE, float(top[order][ends[last]]) - 1e-9)
+    usual = float(right.mean())
+    model.threshold = LEAST_CONFIDENCE * usual
+    order = np.argsort(top, kind="stable")
+    ends = np.flatnonzero(np.r_[np.diff(top[order]) != 0, True])[:-1]  # equal scores go together
+    ends = ends[ends < MOST_REJECTED * len(top)]
+    below = np.cumsum(right[order])[ends] / (ends + 1)
+    bad = np.flatnonzero(below <= WORSE * usual)
+    if len(bad):
+        # The next score is the first that is accepted.
+        model.threshold = max(model.threshold, float(top[order][ends[bad[-1]] + 1]) - 1e-9)
     return model
 
 
+def _low_ranks(docs: DataFrame, rank: Column, label: Column, per_language: int) -> Column:
+    """Which rows can be among the first ``per_language`` of their label, but for a few.
+
+    Labels with many rows are counted, and only ranks below a bound that lets about twice as many
+    through are kept, so a hot label costs no task more than its share.  Should too few
+    pass, which is as good as impossible, the sample is smaller.
+    """
+    counts = docs.groupBy(label.alias("label")).count().filter(F.col("count") > 2 * per_language)
+    hot = counts.orderBy(F.col("count").desc(), "label").limit(HOT_LABELS).collect()
+    if not hot:
+        return F.lit(True)
+    bounds = [x for r in hot for x in (F.lit(r["label"]), F.lit(-(1 << 63) + int((1 << 64) * (2 * per_language / r["count"]))))]
+    return rank <= F.coalesce(F.create_map(*bounds)[label], F.lit((1 << 63) - 1))
+
+
 def training_sample(
     docs: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column,
     per_language: int = DOCS_PER_LANGUAGE,
@@ -192,8 +218,7 @@ def training_sample(
     """(label, validation, text): pieces of at most ``per_language`` documents of each label.
 
     Documents are chosen by a hash of their id, so the choice does not depend on
-    partitions.  Only pieces are shuffled, and up to 1000 documents a label Spark applies the
-    rank limit before the shuffle as well, so a hot label sends a bounded number from each task.
+    partitions.  Only pieces are shuffled, of about twice as many documents as a label needs.
     """
     rank = F.xxhash64(F.lit(SEED), F.col(id_col).cast("string"), F.length(text_col))
     text = F.col(text_col)
@@ -207,8 +232,10 @@ def training_sample(
             for n in PIECES
         ]
     )
+    label = F.col(label_col).cast("string")
+    known = docs.filter(usable & F.col(label_col).isNotNull() & text.isNotNull())
     chosen = (
-        docs.filter(usable & F.col(label_col).isNotNull() & text.isNotNull())
+        known.filter(_low_ranks(known, rank, label, per_language))
         .select(F.col(label_col).cast("string").alias("label"), rank.alias("rank"), pieces.alias("pieces"))
         .withColumn("nth", F.row_number().over(Window.partitionBy("label").orderBy("rank", "pieces")))
         .filter(F.col("nth") <= per_language)

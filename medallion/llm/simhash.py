@@ -16,8 +16,9 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion.llm.common import cut, free_names, words
 
@@ -273,13 +274,27 @@ def simhash_groups(
     )
 
 
-def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is their group's smallest, once each, with all their columns.
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS,
+    bucket: int = BUCKET,
+) -> DataFrame:
+    """One row of each group of linked documents, with all its columns.
 
-    Rows without an id cannot be named as copies and stay.  Of repeated rows one stays.
+    A document is an id with a text: unlike texts under one id are judged by themselves.  The document
+    with the smallest id stays, then with the smallest text hash; of its repeated rows the
+    first by the remaining columns.  Rows without an id link others, cannot be named as
+    copies and stay.
     """
-    (copy,) = free_names(docs, "_copy")
-    copies = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(copy))
-    named = docs.filter(F.col(id_col).isNotNull())
-    kept = named.join(copies, named[id_col] == F.col(copy), "left_anti").dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
+    own, nth, of, at = free_names(docs, "_copy", "_nth", "_of", "_at")
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).isNull(), F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
+    named = docs.withColumn(own, F.when(F.col(id_col).isNotNull(), key))
+    groups = simhash_groups(named, own, text_col, shingle, radius, bucket)
+    stay = groups.filter(F.col("doc_id") == F.col("component_id")).select(
+        F.col("doc_id.id").alias(of), F.col("doc_id.h").alias(at)
+    )
+    same_document = (F.col(f"{own}.id") == F.col(of)) & (F.col(f"{own}.h") == F.col(at))
+    kept = named.filter(F.col(own).isNotNull()).join(stay, same_document, "left_semi")
+    rest = [f.name for f in docs.schema if f.name not in (id_col, text_col) and not isinstance(f.dataType, T.MapType)]
+    order = [F.col(f"`{c}`").asc_nulls_last() for c in rest] or [F.col(own)]
+    ranked = kept.withColumn(nth, F.row_number().over(Window.partitionBy(own).orderBy(*order)))
+    return ranked.filter(F.col(nth) == 1).drop(own, nth).unionByName(docs.filter(F.col(id_col).isNull()))

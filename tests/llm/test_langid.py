@@ -88,6 +88,35 @@ def test_rejection_threshold_gives_the_precision():
     assert fitted.threshold > np.exp(logits.max()) / np.exp(logits).sum()
 
 
+@pytest.mark.parametrize("wrong", [0.0, 0.04, 0.06, 0.08, 0.15, 0.3])
+def test_noisy_labels_reject_no_clean_documents(spark, wrong):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    names = ["de", "en", "es", "fr"]
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(10_000))
+    other = F.element_at(F.array(*map(F.lit, names)), (1 + F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(4))).cast("int"))
+    noisy = docs.withColumn("lang", F.when(at < F.lit(10_000 * wrong * 4 / 3), other).otherwise(F.col("lang")))
+    kept = langid.accepted(noisy, langid.fit(noisy))
+    assert kept.count() >= 0.95 * docs.count()
+
+
+def test_only_low_ranks_of_a_hot_label_are_shuffled(spark):
+    rows = [(i, f"text number {i}", "en" if i % 20 else "fr", 0) for i in range(6000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    sample = langid.training_sample(docs, "doc_id", "text", "lang", F.lit(True), per_language=100)
+    whole = langid._low_ranks
+    got = sorted(map(tuple, sample.collect()))
+    assert len(got) == 2 * 100 * len(langid.PIECES)
+    langid._low_ranks = lambda *_: F.lit(True)
+    try:
+        sample = langid.training_sample(docs, "doc_id", "text", "lang", F.lit(True), per_language=100)
+        assert got == sorted(map(tuple, sample.collect()))
+    finally:
+        langid._low_ranks = whole
+    rank = F.xxhash64(F.lit(langid.SEED), F.col("doc_id").cast("string"), F.length("text"))
+    passed = docs.filter(langid._low_ranks(docs, rank, F.col("lang"), 100)).groupBy("lang").count().collect()
+    assert all(100 <= r["count"] <= 300 for r in passed)
+
+
 def test_table_rows(spark, model):
     rng = random.Random(5)
     rows = [(1, made_up(rng, "xx", 9), None), (2, None, "xx"), (2, None, "xx"), (None, "", None), (3, made_up(rng, "yy", 9), "?")]

@@ -94,7 +94,7 @@ def test_each_stage_takes_an_empty_table_and_odd_rows(spark, stages, tmp_path):
 
 def test_every_operator_has_a_query():
     names = [k for k in entry_point.queries() if k.startswith("op")]
-    assert {int(k[2:].split("_")[0]) for k in names if k[2:].split("_")[0].isdigit()} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in names if k[2:].split("_")[0].isdigit()} == set(range(1, 14))
 
 
 def test_extra_columns_stay_whatever_their_names(spark, stages):

@@ -114,7 +114,7 @@ def test_nulls_blanks_repeats_and_clashing_names(spark):
     assert {r[2] for r in result if r[0] in (3, 5, None)} == {3}
     assert {r[1:] for r in result if r[0] in (7, 8, 9)} == {("0" * 16, 7)}
     assert all(r[1] == f"{plain_fingerprint(text):016x}" for r in result if r[2] == 3)
-    kept = simhash.keep_one(docs, simhash.simhash_groups(docs))
+    kept = simhash.keep_one(docs)
     assert sorted((r.doc_id or 0, r.fp or "") for r in kept.collect()) == [(0, "c"), (3, "b"), (7, "e"), (11, "f")]
     assert kept.columns == docs.columns
 
@@ -123,9 +123,24 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     result = simhash.simhash_groups(docs)
     assert result.count() == 0 and isinstance(result.schema["component_id"].dataType, T.LongType)
-    assert simhash.keep_one(docs, result).count() == 0
+    assert simhash.keep_one(docs).count() == 0
 
 
 def test_null_ids_only(spark):
     docs = spark.createDataFrame([(None, "a b c"), (None, "a b c")], "doc_id long, text string")
     assert {tuple(r)[2] for r in simhash.simhash_groups(docs).collect()} == {None}
+
+
+def test_unlike_texts_under_one_id_are_judged_by_themselves(spark):
+    fox = "the quick brown fox jumps over the lazy dog again and again"
+    rows = [(1, fox, 1), (5, fox, 2), (5, "nothing of the kind was ever said by anyone in here", 3), (5, "a third text altogether with words of its own", 4)]
+    rows += [(7, "x y z", 9), (7, "x y z", 8), (7, "x y z", None)]
+    for parts in (1, 3):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, own int").repartition(parts)
+        assert sorted(r.own for r in simhash.keep_one(docs).collect()) == [1, 3, 4, 8]
+
+
+def test_a_row_without_an_id_links_others(spark):
+    fox = "the quick brown fox jumps over the lazy dog again and again"
+    docs = spark.createDataFrame([(None, fox, 1), (4, fox, 2), (3, fox, 3)], "doc_id long, text string, own int")
+    assert sorted(r.own for r in simhash.keep_one(docs).collect()) == [1, 3]
