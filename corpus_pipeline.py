@@ -37,7 +37,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null, empty and blank texts are one group.  Rows without an id stay.
     """
     ship(spark)
-    return simhash.keep_one(docs, simhash.simhash_groups(docs))
+    return simhash.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
