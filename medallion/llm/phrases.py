@@ -39,7 +39,7 @@ SCALE = 1_000_000
 GROUP_LEAVES = 1 << 20
 CLASSES, MOST_CLASSES = 1 << 16, 1 << 22
 # Words a task merges to leaves at a time.
-TASK_WORDS = 1 << 18
+TASK_WORDS = 1 << 17
 SALTS = 64
 # Few but large rows: without these, a task would hold a hundred of them before it writes one.
 FILES = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size": str(32 << 20)}
@@ -48,7 +48,17 @@ BREAK = re.compile(rb"[.,;:!?\x0A-\x0D]+")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
-FRAGMENT = "lang string, n_words long, words binary, leaves binary, counts binary"
+FRAGMENT = "lang string, n_words long, words binary, n_leaves int, leaves binary, counts binary"
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as the largest one needs."""
+    most = int(numbers.max()) if numbers.size else 0
+    return numbers.astype(f"<u{next(n for n in (1, 2, 4, 8) if most < 1 << 8 * n)}").tobytes()
+
+
+def _unpacked(raw: pa.Scalar, n: int) -> np.ndarray:
+    return np.frombuffer(raw.as_buffer(), f"<u{len(raw.as_buffer()) // n}") if n else np.empty(0, np.uint8)
 
 
 class _Language:
@@ -80,7 +90,7 @@ class _Language:
             leaves[:, d] = np.where(inside, word, 0)
         leaves, counts = _merged(leaves, np.ones(len(leaves), dtype=np.int64))
         words = b"\n".join(list(self.numbers)[1:])
-        return lang, self.n, words, leaves.tobytes(), counts.tobytes()
+        return lang, self.n, words, len(leaves), _packed(leaves), _packed(counts)
 
 
 def _merged(leaves: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +111,7 @@ def _merged(leaves: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def fragments(docs: DataFrame, text_col: str, lang_col: str, depth: int) -> DataFrame:
-    """(lang, n_words, words, leaves, counts): truncated suffixes, merged piece by piece of a task.
+    """(lang, n_words, words, n_leaves, leaves, counts): truncated suffixes, merged piece by piece of a task.
 
     ``words`` are joined by line feeds; ``leaves`` are rows of ``depth`` word numbers, 0 behind
     the end of a piece.  A null text has no words, a null language is ``und``.
@@ -130,13 +140,12 @@ def fragments(docs: DataFrame, text_col: str, lang_col: str, depth: int) -> Data
 
 def _rows(batch: pa.RecordBatch, depth: int, counted: bool = True) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray | None]]:
     """(lang, words, leaves, counts) of the fragments of a batch, one at a time."""
-    lang, words, leaves = (batch.column(c) for c in ("lang", "words", "leaves"))
+    lang, words, n_leaves, leaves = (batch.column(c) for c in ("lang", "words", "n_leaves", "leaves"))
     counts = batch.column("counts") if counted else None
     for i in range(batch.num_rows):
-        said = words[i].as_py()
-        made = np.frombuffer(leaves[i].as_buffer(), np.uint32).reshape(-1, depth)
-        n = np.frombuffer(counts[i].as_buffer(), np.int64) if counted else None
-        yield lang[i].as_py(), said.split(b"\n") if said else [], made, n
+        said, n = words[i].as_py(), n_leaves[i].as_py()
+        made = _unpacked(leaves[i], n * depth).reshape(-1, depth)
+        yield lang[i].as_py(), said.split(b"\n") if said else [], made, _unpacked(counts[i], n) if counted else None
 
 
 def _classes(lang: str, words: list[bytes], leaves: np.ndarray, classes: int) -> Iterator[np.ndarray]:
@@ -203,15 +212,15 @@ def _class_rows(stored: DataFrame, routes: Routes, depth: int) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["class", "n"])
 
-    counted = stored.select("lang", "words", "leaves").mapInArrow(run, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
+    counted = stored.select("lang", "words", "n_leaves", "leaves").mapInArrow(run, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
     rows = np.zeros(classes, dtype=np.int64)
     rows[counted["class"].to_numpy()] = counted["n"].to_numpy()
     return rows
 
 
 def _routed(stored: DataFrame, routes: Routes, depth: int) -> DataFrame:
-    """Each fragment's leaves as one row per group, with the words they need and their prefix length."""
-    schema = "`group` long, lang string, words binary, leaves binary, counts binary, lengths binary"
+    """Each fragment's leaves as one row per group, with the words they need and the group's prefix length."""
+    schema = "`group` long, lang string, length int, words binary, n_leaves int, leaves binary, counts binary"
     arrow = arrow_schema(stored.sparkSession, schema)
     shared = stored.sparkSession.sparkContext.broadcast(routes)
 
@@ -226,10 +235,7 @@ def _routed(stored: DataFrame, routes: Routes, depth: int) -> DataFrame:
                     if used[0]:
                         used, own = np.concatenate([[0], used]), own + 1
                     said = b"\n".join([words[i - 1] for i in used[1:]])
-                    own = own.reshape(-1, depth).astype(np.uint32)
-                    made.append(
-                        (int(group[at[0]]), lang, said, own.tobytes(), counts[at].tobytes(), length[at].astype(np.int8).tobytes())
-                    )
+                    made.append((int(group[at[0]]), lang, int(length[at[0]]), said, len(at), _packed(own), _packed(counts[at])))
                 for first in range(0, len(made), 64):
                     columns = zip(*made[first : first + 64], strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
@@ -248,33 +254,31 @@ def _subtrees(routed: DataFrame, depth: int, min_count: int) -> DataFrame:
 
     def build(table: pa.Table) -> pa.Table:
         by_lang: dict[str, list] = {}
+        length = 0  # the same for all leaves of a group
         numbers: dict[str, dict[bytes, int]] = {}
         for batch in table.to_batches():
-            lengths = batch.column("lengths")
+            lengths = batch.column("length")
             for i, (lang, words, leaves, counts) in enumerate(_rows(batch, depth)):
                 own = numbers.setdefault(lang, {b".": 0})
                 new = np.array([0, *(own.setdefault(w, len(own)) for w in words)], dtype=np.uint32)
-                by_lang.setdefault(lang, []).append((new[leaves], counts, np.frombuffer(lengths[i].as_py(), np.int8)))
+                by_lang.setdefault(lang, []).append((new[leaves], counts.astype(np.int64)))
+                length = lengths[i].as_py()
         out = []
         for lang, parts in by_lang.items():
             words = list(numbers[lang])
-            leaves, counts, lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
-            for length in np.unique(lengths):
-                own, totals = _merged(leaves[lengths == length], counts[lengths == length])
-                for size in range(1, depth + 1):
-                    there = own[:, size - 1] != 0
-                    prefix, n = own[there, :size], totals[there]
-                    if not len(n):
-                        continue
-                    firsts = np.flatnonzero(
-                        np.concatenate([[True], (prefix[1:] != prefix[:-1]).any(axis=1)])
-                    )
-                    n, prefix = np.add.reduceat(n, firsts), prefix[firsts]
-                    if size >= length:
-                        prefix, n = prefix[n >= min_count], n[n >= min_count]
-                    phrases = [b" ".join([words[i] for i in row]) for row in prefix.tolist()]
-                    columns = [pa.array([lang] * len(n)), pa.array([size] * len(n), pa.int32()), pa.array(phrases, pa.binary()), pa.array(n)]
-                    out.append(pa.Table.from_arrays(columns, schema=arrow))
+            own, totals = _merged(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+            for size in range(1, depth + 1):
+                there = own[:, size - 1] != 0
+                prefix, n = own[there, :size], totals[there]
+                if not len(n):
+                    continue
+                firsts = np.flatnonzero(np.concatenate([[True], (prefix[1:] != prefix[:-1]).any(axis=1)]))
+                n, prefix = np.add.reduceat(n, firsts), prefix[firsts]
+                if size >= length:
+                    prefix, n = prefix[n >= min_count], n[n >= min_count]
+                phrases = [b" ".join([words[i] for i in row]) for row in prefix.tolist()]
+                columns = [pa.array([lang] * len(n)), pa.array([size] * len(n), pa.int32()), pa.array(phrases, pa.binary()), pa.array(n)]
+                out.append(pa.Table.from_arrays(columns, schema=arrow))
         return pa.concat_tables(out) if out else arrow.empty_table()
 
     return routed.groupBy("group").applyInArrow(build, schema)
@@ -296,7 +300,7 @@ def phrase_counts(
     made = fragments(docs, text_col, lang_col, depth)
     made.write.options(compression="zstd", **FILES).parquet(target)
     stored = spark.read.schema(made.schema).parquet(target)
-    total = (stored.agg(F.sum(F.octet_length("leaves"))).first()[0] or 0) // (4 * depth)
+    total = stored.agg(F.sum("n_leaves")).first()[0] or 0
     budget = min(group_leaves, -(-total // int(spark.conf.get("spark.sql.shuffle.partitions"))))
     budget = max(1, budget, 4 * total // MOST_CLASSES)
     classes = classes or min(MOST_CLASSES, max(CLASSES, 1 << (4 * total // budget).bit_length()))

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +129,13 @@ def test_empty_tables(spark):
 def test_many_words_in_one_fragment():
     made = P._Language()
     made.add(b" ".join(b"w%d" % (i % 2_200_000) for i in range(2_200_002)))
-    _, n, words, leaves, counts = made.fragment("en", 3)
+    _, n, words, n_leaves, leaves, counts = made.fragment("en", 3)
     assert n == 2_200_002 and words.count(b"\n") == 2_199_999
-    assert np.frombuffer(counts, np.int64).sum() == n and len(leaves) == 12 * 2_200_002
+    assert np.frombuffer(counts, np.uint8).sum() == n and len(leaves) == 12 * 2_200_002 and n_leaves == n
+
+
+def test_packed_numbers_come_back():
+    for most in (0, 1, 255, 256, 65_535, 65_536, 2**32 - 1, 2**32):
+        numbers = np.array([0, most // 2, most], dtype=np.int64)
+        raw = P._packed(numbers)
+        assert (P._unpacked(pa.scalar(raw), 3) == numbers).all() and len(raw) <= 24
