@@ -1,10 +1,11 @@
 """Chat formatting of reply trees, in DataFrame operations only.
 
 Messages of a tree name their parent.  Iterative self-joins double, in each round, the
-distance at which every message knows its ancestor, and with it the part of every
-root-to-leaf path that is known, so a path of n messages takes log2(n) rounds on ids
-alone.  The branches of a tree are ranked by score, and each chosen path is joined with
-its texts once and formatted as one conversation.
+distance at which every message knows its ancestor, and carry the number and the scores
+of the messages in between, so a path of n messages takes log2(n) rounds on one row per
+message.  The branches of a tree are ranked by that.  Only the chosen ones are spelled out, by
+the same jumps from their leaves, joined with their texts once, and formatted as one
+conversation each.
 
 Template, per message: ``<s>[INST] role [/INST] text </s>``.  Control strings inside a role
 or a text get one backslash behind their first character, those that already look
@@ -13,6 +14,8 @@ escaped get one more, and reading takes one away: any text comes back as it was.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,42 +63,53 @@ def tree_paths(
     known = cut(known)
     parents = known.filter(F.col("up").isNotNull()).select(F.col("tree").alias("_tree"), F.col("up").alias("_up")).distinct()
     leaves = known.join(parents, same(F.col("tree"), F.col("_tree")) & (F.col("message") == F.col("_up")), "left_anti")
-    paths = cut(leaves.select("tree", F.col("message").alias("leaf"), "message", F.lit(0).alias("above")))
-    jumps, distance, most = known.select("tree", "message", "up"), 1, None
-    while True:
-        jump = jumps.filter(F.col("up").isNotNull()).select(
-            F.col("tree").alias("_tree"), F.col("message").alias("_message"), F.col("up").alias("_up")
+    jumps, climbed = _climb(known)
+    totals = climbed.select(F.col("tree").alias("_tree"), F.col("message").alias("leaf"), "size", (F.col("total") / F.col("size")).alias("score"))
+    ranked = leaves.select("tree", "message").join(totals, same(F.col("tree"), F.col("_tree")) & (F.col("message") == F.col("leaf")))
+    if branches is not None:
+        rank = Window.partitionBy("tree").orderBy(F.col("score").desc(), "leaf")
+        ranked = ranked.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= branches)
+    # Only the chosen paths are spelled out: each round adds the messages one jump above those known.
+    paths = cut(ranked.select("tree", "leaf", "message", F.lit(0).alias("above"), "size", "score"))
+    for nth, jump in enumerate(jumps):
+        step = same(F.col("tree"), F.col("_tree")) & (F.col("message") == F.col("_message"))
+        longer = paths.join(jump, step).select(
+            "tree", "leaf", F.col("_up").alias("message"), (F.col("above") + (1 << nth)).alias("above"), "size", "score"
         )
-        if jump.isEmpty():
+        paths = cut(paths.unionByName(longer))
+    return paths.select("tree", "leaf", "message", (F.col("size") - 1 - F.col("above")).cast("int").alias("depth"), "score")
+
+
+def _climb(known: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Pointer doubling over all messages, a row per message and round.
+
+    Returns, per round k, (_tree, _message, _up) with the ancestor 2^k above, and (tree, message, size, total)
+    with the number of messages from each message to its root and the sum of their scores.
+    Messages that never reach a root (those on a cycle or below one) are not among the latter.
+    """
+    state = known.select("tree", "message", "up", F.lit(1).cast("bigint").alias("size"), F.col("score").alias("total"))
+    jumps, done, most = [], [], None
+    while True:
+        # A message that has reached its root leaves the rounds; it is only looked up.
+        done.append(state.filter(F.col("up").isNull()).select("tree", "message", "size", "total"))
+        active = state.filter(F.col("up").isNotNull())
+        if active.isEmpty():
             break
-        # Only a cycle has ancestors at a distance beyond the number of messages.
         most = known.count() if most is None else most
-        if distance > most:
-            endless = cut(jump.select("_tree", "_message"))
-            hit = paths.join(endless, same(F.col("tree"), F.col("_tree")) & (F.col("message") == F.col("_message")), "left_semi")
-            hit = hit.select(F.col("tree").alias("_tree"), F.col("leaf").alias("_leaf")).distinct()
-            paths = paths.join(hit, same(F.col("tree"), F.col("_tree")) & (F.col("leaf") == F.col("_leaf")), "left_anti")
+        if 1 << len(jumps) > most:  # only a cycle has ancestors at a distance beyond the number of messages
             break
-        step = same(F.col("tree"), F.col("_tree")) & (F.col("message") == F.col("_message"))
-        longer = paths.join(jump, step).select(
-            "tree", "leaf", F.col("_up").alias("message"), (F.col("above") + distance).alias("above")
+        jumps.append(active.select(F.col("tree").alias("_tree"), F.col("message").alias("_message"), F.col("up").alias("_up")))
+        reached = reduce(DataFrame.unionByName, [active, *(d.withColumn("up", F.lit(None).cast(known.schema["up"].dataType)) for d in done)])
+        above = reached.select(
+            F.col("tree").alias("_tree"), F.col("message").alias("_message"),
+            F.col("up").alias("_up"), F.col("size").alias("_size"), F.col("total").alias("_total"),
         )
-        paths = cut(paths.unionByName(longer))
         on = same(F.col("tree"), F.col("_tree")) & (F.col("up") == F.col("_message"))
-        jumps = cut(jumps.filter(F.col("up").isNotNull()).join(jump, on, "left").select("tree", "message", F.col("_up").alias("up")))
-        distance *= 2
-    scored = paths.join(
-        known.select(F.col("tree").alias("_tree"), F.col("message").alias("_message"), F.col("score").alias("own")),
-        same(F.col("tree"), F.col("_tree")) & (F.col("message") == F.col("_message")),
-    ).select("tree", "leaf", "message", "above", "own")
-    per_path = scored.groupBy("tree", "leaf").agg(F.avg("own").alias("score"), F.max("above").alias("top"))
-    if branches is not None:
-        rank = Window.partitionBy("tree").orderBy(F.col("score").desc(), "leaf")
-        per_path = per_path.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= branches)
-    chosen = per_path.select(F.col("tree").alias("_tree"), F.col("leaf").alias("_leaf"), "score", "top")
-    return scored.join(chosen, same(F.col("tree"), F.col("_tree")) & (F.col("leaf") == F.col("_leaf"))).select(
-        "tree", "leaf", "message", (F.col("top") - F.col("above")).alias("depth"), "score"
-    )
+        state = cut(active.join(above, on).select(
+            "tree", "message", F.col("_up").alias("up"),
+            (F.col("size") + F.col("_size")).alias("size"), (F.col("total") + F.col("_total")).alias("total"),
+        ))
+    return jumps, reduce(DataFrame.unionByName, done)
 
 
 def format_messages(messages: Column) -> tuple[Column, Column]:

@@ -60,6 +60,37 @@ def test_the_best_branches_are_chosen(spark):
     assert chat.format_reply_trees(tree_frame(spark, rows)).count() == 3
 
 
+def test_best_paths_equal_ranking_all_of_them(spark):
+    rng = random.Random(5)
+    rows = [row for tree in range(5) for row in random_tree(rng, tree, rng.randrange(1, 30))]
+    got = {}
+    for r in chat.tree_paths(tree_frame(spark, rows), "tree_id", "message_id", "parent_id", "score", branches=2).collect():
+        got.setdefault((r.tree, r.leaf, r.score), []).append((r.depth, r.message))
+    means = {k: sum(m[5] or 0 for m in p) / len(p) for k, p in plain_paths(rows).items()}
+    for tree in range(5):
+        best = sorted((k for k in means if k[0] == tree), key=lambda k: (-means[k], k[1]))[:2]
+        found = {k[1]: (k[2], [m for _, m in sorted(v)]) for k, v in got.items() if k[0] == tree}
+        assert set(found) == {k[1] for k in best}
+        for k in best:
+            assert found[k[1]][0] == pytest.approx(means[k]) and found[k[1]][1] == [m[1] for m in plain_paths(rows)[k]]
+
+
+def test_work_grows_with_messages_not_with_paths(spark, monkeypatch):
+    """A chain with a leaf at every message: all paths together would be 22,650 rows."""
+    rows = [(1, i, i - 1 if i else None, "user", "c", 0.0) for i in range(150)]
+    rows += [(1, 1000 + i, i, "assistant", "l", float(i == 140)) for i in range(150)]
+    stored, cut = [], chat.cut
+
+    def counted(df):
+        kept = cut(df)
+        stored.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(chat, "cut", counted)
+    best = chat.tree_paths(tree_frame(spark, rows), "tree_id", "message_id", "parent_id", "score", branches=1)
+    assert best.count() == 142 and max(stored) <= len(rows)
+
+
 def test_cycles_and_orphans(spark):
     rows = [(1, 0, 2, "user", "a", None), (1, 2, 0, "user", "b", None), (1, 3, 2, "user", "below a cycle", None),
             (2, 5, 99, "user", "orphan", None), (None, 1, None, "user", "no tree", None)]
