@@ -1,7 +1,7 @@
-"""Document fingerprints: a Merkle tree over sections, paragraphs and sentences.
+"""Document fingerprints: a Merkle tree over sections, paragraphs and short runs of words.
 
 A text is cut, without losing a character, into sections, these into paragraphs (lines),
-these into sentences, long ones into runs of words.  The leaves are digests of the pieces,
+these into runs of two words that end with a sentence at the latest.  The leaves are digests of the pieces,
 every inner node is the digest of its children's, so two texts are equal exactly if their
 roots are, and an edit changes only the branches above it.  Where a paragraph ends a
 section depends on its own content, so an edit does not move the sections behind it.
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from medallion.llm.common import map_rows
 
 LINE = re.compile(r"[^\n]*\n|[^\n]+")
-# Words up to one that ends with .!? and the white space behind it, 32 at most, are a
-# leaf.  Possessive, so that no text takes more than linear time.
-LEAF = re.compile(r"\s*+(?:\S++(?<![.!?])\s++){0,31}+\S*+\s*+")
+# Up to two words, or pieces of eight characters of longer ones, with the white space behind
+# them are a leaf; it ends with a sentence, too.  Possessive, so that no text takes more than linear time.
+LEAF = re.compile(r"\s*+(?:\S{1,8}+(?<![.!?])\s*+)?+\S{0,8}+\s*+")
 DIGEST = 16
 SHOWN = 8
 SECTION_EVERY = 8  # on average so many paragraphs without a blank line are a section

@@ -41,6 +41,22 @@ def test_likeness():
     assert 0 <= swapped < 1
 
 
+@pytest.mark.parametrize("text", [
+    "one long sentence without any stop that goes on and on for quite some words until it ends at last here",
+    "abcdefghijklmnopqrstuvwxyz" * 8, "\u6f22\u5b57\u4eee\u540d" * 30, "short words in a row here, ten or so of them",
+])
+def test_a_kept_half_shows_in_the_likeness(text):
+    changed = merkle.edited(text, "0123456789 " * 100)
+    assert 0.25 < merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(changed)) < 0.75
+
+
+def test_few_documents_look_unlike_their_edits(spark):
+    """An edit keeps half of every text, so hardly any may score as if nothing were left."""
+    made = merkle.compare_with_edits(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    whole, low = made.filter("n_chars > 0").count(), made.filter("n_chars > 0 and near_edited < 0.25").count()
+    assert low < 0.01 * whole
+
+
 def test_differing_branches_locate_an_edit():
     rng = random.Random(4)
     text = random_text(rng, 800)
