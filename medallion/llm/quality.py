@@ -6,17 +6,22 @@ that up to a quarter of bad documents cannot move; a document is rejected if its
 Mahalanobis distance is beyond a quantile of the chi-squared distribution.
 
 The estimate is the usual concentration: from the current centre and covariance take the
-three quarters of the documents that are nearest, estimate again from these, repeat.  One
-such step is one aggregation: distances are put in fine bins, every bin of every group
-holds the sums that its documents add to a mean and a covariance, and the bins are
-accumulated from the nearest outwards until they hold three quarters.  Vectors are whole
-numbers of 1/1024, so the sums are exact and no order of rows changes them.
+three quarters of the documents that are nearest, estimate again from these, repeat.  It runs
+from four starts at once, and the one with the least determinant counts.  One round is one
+aggregation: distances are put in fine bins, every bin of every group and start holds the
+sums that its documents add to a mean and a covariance, and the bins are accumulated from
+the nearest outwards until they hold three quarters.  Vectors are whole numbers of 1/1024, so the
+sums are exact and no order of rows changes them.
+
+The same is done for each language and for all documents.  An estimate is drawn towards the
+one above it by the weight of ``prior`` documents, at every size alike.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -40,12 +45,15 @@ LIMIT = 32
 # group whose documents all agree does not reject the first one that differs a little.
 LEAST_SPREAD = (0.5, 0.1, 0.6, 0.5, 0.5)
 COVERAGE = 0.75
-STEPS = 8
+# Rounds go on as long as some logarithm of a determinant falls by more than this.  The least
+# spreads bound determinants from below, so they end.
 SETTLED = 1e-3
 # False rejections expected of well-behaved documents: one in a hundred thousand.
 TAIL = 1e-5
-# Groups with fewer documents share their language's estimate, then the overall one.
-MIN_GROUP = 100
+# What the estimate above a group's own weighs, in documents.
+PRIOR = 30
+# Usable documents that a table needs for an estimate at all.
+LEAST_DOCS = 30
 BINS_PER_OCTAVE = 32
 MIN_OCTAVE, MAX_OCTAVE = -12, 40
 PAIRS = list(combinations_with_replacement(range(len(FEATURES)), 2))
@@ -170,11 +178,22 @@ def consistency(coverage: float, freedom: int) -> float:
     return coverage / high
 
 
+TRIANGLE = [(i, j) for i in range(len(FEATURES)) for j in range(i + 1)]
+
+
+def _full(lower: list[float]) -> np.ndarray:
+    """The symmetric matrix of a lower triangle."""
+    matrix = np.zeros((len(FEATURES), len(FEATURES)))
+    for (i, j), value in zip(TRIANGLE, lower, strict=True):
+        matrix[i, j] = matrix[j, i] = value
+    return matrix
+
+
 def _whiten(covariance: np.ndarray) -> list[float]:
     """Lower triangle of W with W'W = inverse covariance, after flooring each spread."""
     floor = np.diag(np.square(LEAST_SPREAD))
     inverse_root = np.linalg.inv(np.linalg.cholesky(covariance + floor))
-    return [float(inverse_root[i, j]) for i in range(len(FEATURES)) for j in range(i + 1)]
+    return [float(inverse_root[i, j]) for i, j in TRIANGLE]
 
 
 def _distance(centre: str = "centre", root: str = "root") -> Column:
@@ -189,7 +208,25 @@ def _distance(centre: str = "centre", root: str = "root") -> Column:
     return total
 
 
-ESTIMATE = "g_lang string, g_source string, level int, n long, centre array<double>, root array<double>"
+GROUP = ["g_lang", "g_source", "level"]
+KEY = [*GROUP, "start"]
+ESTIMATE = (
+    "g_lang string, g_source string, level int, start int, n long, centre array<double>,"
+    " covariance array<double>, root array<double>, log_det double"
+)
+
+
+def _estimate(head: pd.Series, n: int, centre: np.ndarray, covariance: np.ndarray) -> dict:
+    """A row of ESTIMATE; the determinant is that of the floored covariance."""
+    root = _whiten(covariance)
+    log_det = -2 * sum(math.log(value) for value, (i, j) in zip(root, TRIANGLE, strict=True) if i == j)
+    lower = [float(covariance[i, j]) for i, j in TRIANGLE]
+    key = {c: None if pd.isna(head[c]) else head[c] for c in KEY}
+    return {**key, "n": n, "centre": [float(c) for c in centre], "covariance": lower, "root": root, "log_det": log_det}
+
+
+def _frame(rows: list[dict]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[part.split()[0] for part in ESTIMATE.split(",")])
 
 
 def _concentrate(coverage: float, scale: float):
@@ -206,56 +243,132 @@ def _concentrate(coverage: float, scale: float):
         second = np.zeros((len(FEATURES), len(FEATURES)))
         for i, j in PAIRS:
             second[i, j] = second[j, i] = float(inner[f"q{i}{j}"].sum()) / h / GRID**2
-        covariance = (second - np.outer(mean, mean)) * scale
-        head = pdf.iloc[0]
-        return pd.DataFrame(
-            {
-                "g_lang": [head["g_lang"]], "g_source": [head["g_source"]], "level": [head["level"]],
-                "n": [n], "centre": [mean.tolist()], "root": [_whiten(covariance)],
-            }
-        )
+        return _frame([_estimate(pdf.iloc[0], n, mean, (second - np.outer(mean, mean)) * scale)])
 
     return run
 
 
-def _step(rows: DataFrame, bin_: Column, coverage: float, scale: float) -> DataFrame:
-    """``rows`` (group and vector columns) to one estimate per group."""
+def _bin() -> Column:
+    octave = F.greatest(F.lit(MIN_OCTAVE), F.least(F.lit(MAX_OCTAVE), F.log2(F.greatest(_distance(), F.lit(1e-9)))))
+    return F.floor(octave * BINS_PER_OCTAVE).cast("int")
+
+
+def _step(rows: DataFrame, coverage: float, scale: float) -> DataFrame:
+    """``rows`` (key, vector and estimate columns) to one estimate per group and start."""
     f = [F.col(c) for c in FEATURES]
     sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(f)]
     squares = [F.sum(f[i] * f[j]).alias(f"q{i}{j}") for i, j in PAIRS]
-    bins = rows.groupBy("g_lang", "g_source", "level", bin_.alias("bin")).agg(
-        F.count("*").alias("n"), *sums, *squares
-    )
-    return bins.groupBy("g_lang", "g_source", "level").applyInPandas(_concentrate(coverage, scale), ESTIMATE)
+    bins = rows.groupBy(*KEY, _bin().alias("bin")).agg(F.count("*").alias("n"), *sums, *squares)
+    return bins.groupBy(*KEY).applyInPandas(_concentrate(coverage, scale), ESTIMATE)
 
 
-GROUP = ["g_lang", "g_source", "level"]
+def _join(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
+    """Each row with the estimates of its group, one per start.
 
-
-def _join(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """An estimate is a few hundred bytes per group; adaptive execution broadcasts it only if small."""
-    e = estimates.select(*[F.col(c).alias(f"_{c}") for c in GROUP], "centre", "root")
+    An estimate is a few hundred bytes per group; adaptive execution broadcasts it only if small.
+    """
+    e = estimates.select(*[F.col(c).alias(f"_{c}") for c in GROUP], "start", "centre", "root")
     on = same(rows["g_lang"], e["_g_lang"]) & same(rows["g_source"], e["_g_source"]) & (rows["level"] == e["_level"])
-    return rows.join(e, on, "left").drop(*[f"_{c}" for c in GROUP])
+    return rows.join(e, on, how).drop(*[f"_{c}" for c in GROUP])
+
+
+def _levels(rows: DataFrame) -> DataFrame:
+    """Each row in three groups: all rows (level 0), its language's, and its language's and source's."""
+    none = F.lit(None).cast("string")
+    lang, source = F.col("lang").cast("string"), F.col("source").cast("string")
+    groups = [(none, none, 0), (lang, none, 1), (lang, source, 2)]
+    return rows.select(
+        F.inline(F.array(*[F.struct(g.alias("g_lang"), s.alias("g_source"), F.lit(k).alias("level")) for g, s, k in groups])), *FEATURES
+    )
+
 
+def _starts(usable: DataFrame) -> DataFrame:
+    """Four first estimates of each group, as the concentration's starts.
 
-def _grouped(rows: DataFrame, min_group: int) -> DataFrame:
-    """Adds the group each row is estimated in: its own, its language's, or all (level 0, 1, 2)."""
-    counts = rows.filter("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n_own"))
-    small = counts.filter(F.col("n_own") < min_group).groupBy("lang").agg(F.sum("n_own").alias("n_pool"))
-    levels = counts.join(small.withColumnRenamed("lang", "_lang"), same(F.col("lang"), F.col("_lang")), "left").select(
-        F.col("lang").alias("_lang"),
-        F.col("source").alias("_source"),
-        F.when(F.col("n_own") >= min_group, 0).when(F.col("n_pool") >= min_group, 1).otherwise(2).alias("level"),
+    0: medians and median absolute deviations; 1: medians and the spatial signs' covariance;
+    2: the half nearest to start 0; 3: plain mean and covariance.
+    """
+    size = len(FEATURES)
+    middle = usable.groupBy(*GROUP).agg(*[F.median(c).alias(f"m_{c}") for c in FEATURES])
+    middle = cut(middle.select(*[F.col(c).alias(f"_{c}") for c in GROUP], *[f"m_{c}" for c in FEATURES]).coalesce(8))
+    at = same(F.col("g_lang"), F.col("_g_lang")) & same(F.col("g_source"), F.col("_g_source")) & (F.col("level") == F.col("_level"))
+    apart = usable.join(middle, at).select(*GROUP, *[f"m_{c}" for c in FEATURES], *[(F.col(c) - F.col(f"m_{c}")).alias(c) for c in FEATURES])
+    spread = apart.groupBy(*GROUP).agg(
+        F.count("*").alias("n"),
+        F.array(*[F.first(f"m_{c}") / GRID for c in FEATURES]).alias("centre"),
+        F.array(*[1.4826 * F.median(F.abs(F.col(c))) / GRID for c in FEATURES]).alias("mad"),
     )
-    joined = rows.join(levels, same(rows["lang"], levels["_lang"]) & same(rows["source"], levels["_source"]), "left")
-    level = F.coalesce("level", F.lit(2))
-    return joined.select(
-        *rows.columns,
-        F.when(level < 2, F.col("lang")).alias("g_lang"),
-        F.when(level < 1, F.col("source")).alias("g_source"),
-        level.alias("level"),
+    spread = cut(spread.coalesce(8))
+    # Directions from the medians, in units of the spreads; whole numbers, so sums are exact.
+    own = spread.select(*[F.col(c).alias(f"_{c}") for c in GROUP], "mad")
+    unit = [F.col(c) / F.sqrt(F.col("mad")[i] * F.col("mad")[i] + LEAST_SPREAD[i] ** 2) for i, c in enumerate(FEATURES)]
+    norm = F.sqrt(reduce(Column.__add__, [u * u for u in unit]))
+    signs = apart.join(own, at).select(
+        *GROUP, *[F.when(norm > 0, F.rint(u / norm * GRID)).otherwise(F.lit(0.0)).cast("long").alias(f"u{i}") for i, u in enumerate(unit)]
+    ).groupBy(*GROUP).agg(*[F.sum(F.col(f"u{i}") * F.col(f"u{j}")).alias(f"q{i}{j}") for i, j in PAIRS])
+    seen = signs.select(*[F.col(c).alias(f"_{c}") for c in GROUP], *[f"q{i}{j}" for i, j in PAIRS])
+
+    def first_two(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            made = []
+            for _, row in pdf.iterrows():
+                wide = np.sqrt(np.square(row["mad"]) + np.square(LEAST_SPREAD))
+                turned = np.zeros((size, size))
+                for i, j in PAIRS:
+                    turned[i, j] = turned[j, i] = row[f"q{i}{j}"] / row["n"] / GRID**2 * size * wide[i] * wide[j]
+                for start, covariance in enumerate((np.diag(np.square(row["mad"])), turned)):
+                    made.append(_estimate(pd.Series({**row[GROUP], "start": start}), int(row["n"]), row["centre"], covariance))
+            yield _frame(made)
+
+    both = spread.join(seen, at).select(*GROUP, "n", "centre", "mad", *[f"q{i}{j}" for i, j in PAIRS])
+    made = cut(both.mapInPandas(first_two, ESTIMATE).coalesce(8))
+    placed = _join(usable, made.filter("start = 0"))
+    half = _step(placed.withColumn("start", F.lit(2)), 0.5, 1.0)
+    plain = _step(placed.withColumn("start", F.lit(3)), 1.0, 1.0)
+    return made.unionByName(half).unionByName(plain)
+
+
+def least_determinants(usable: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    """The estimate of the least determinant of each group (``GROUP`` and vector columns).
+
+    Every start is followed until its determinant settles; of equal determinants the first start counts.
+    """
+    scale = consistency(coverage, len(FEATURES))
+    moving = cut(_step(_join(usable, cut(_starts(usable).coalesce(8))), coverage, scale).coalesce(8))
+    found = []
+    while not moving.isEmpty():
+        found.append(moving)
+        before = moving.select(*[F.col(c).alias(f"_{c}") for c in KEY], F.col("log_det").alias("_log_det"))
+        on = same(F.col("g_lang"), F.col("_g_lang")) & same(F.col("g_source"), F.col("_g_source")) & (F.col("level") == F.col("_level"))
+        after = _step(_join(usable, moving), coverage, scale).join(before, on & (F.col("start") == F.col("_start")))
+        moving = cut(after.filter(F.col("log_det") < F.col("_log_det") - SETTLED).select(*moving.columns).coalesce(8))
+    every = reduce(DataFrame.unionByName, found, moving)
+    best = F.min(F.struct("log_det", "start", "n", "centre", "covariance", "root")).alias("best")
+    return every.groupBy(*GROUP).agg(best).select(*GROUP, "best.*")
+
+
+def _shrunk(estimates: DataFrame, prior: float) -> DataFrame:
+    """(g_lang, g_source, level, start, centre, root) of each language and source, drawn towards its language's, that towards all."""
+    level = lambda k: estimates.filter(F.col("level") == k)
+    named = lambda k, *keys: level(k).select(
+        *[F.col(c).alias(f"_{c}{k}") for c in keys], F.col("n").alias(f"n{k}"), F.col("centre").alias(f"c{k}"), F.col("covariance").alias(f"v{k}")
     )
+    joined = named(2, "g_lang", "g_source").join(named(1, "g_lang"), same(F.col("_g_lang2"), F.col("_g_lang1")))
+    joined = joined.join(F.broadcast(named(0)), F.lit(True))  # a single row
+    weight = lambda k: F.col(f"n{k}") / (F.col(f"n{k}") + prior)
+
+    def drawn(c: str) -> Column:
+        upper = F.zip_with(f"{c}1", f"{c}0", lambda x, y: weight(1) * x + (1 - weight(1)) * y)
+        return F.zip_with(F.col(f"{c}2"), upper, lambda x, y: weight(2) * x + (1 - weight(2)) * y)
+
+    both = joined.select(F.col("_g_lang2").alias("g_lang"), F.col("_g_source2").alias("g_source"), drawn("c").alias("centre"), drawn("v").alias("covariance"))
+
+    def whitened(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            roots = [_whiten(_full(list(v))) for v in pdf["covariance"]]
+            yield pdf[["g_lang", "g_source", "centre"]].assign(level=2, start=0, root=roots)
+
+    return both.mapInPandas(whitened, "g_lang string, g_source string, centre array<double>, level int, start int, root array<double>")
 
 
 def quality_rules(
@@ -266,63 +379,31 @@ def quality_rules(
     source_col: str = "source",
     coverage: float = COVERAGE,
     tail: float = TAIL,
-    min_group: int = MIN_GROUP,
-    steps: int = STEPS,
+    prior: float = PRIOR,
+    least_docs: int = LEAST_DOCS,
 ) -> DataFrame:
     """One row per input row: ``doc_id``, the statistics, ``base_failed``, ``kept``, ``distance``.
 
     ``kept`` is false for ``base_failed`` rows, which no estimate uses, and for rows whose
-    squared distance is beyond the ``1 - tail`` quantile.  A group (language and source,
-    null being a value of either) with fewer than ``min_group`` usable documents is
-    estimated together with its language's other small groups, those left over with each
-    other; if even that pool has fewer, nothing is known of them and they are kept, with a
-    null distance.
+    squared distance is beyond the ``1 - tail`` quantile.  Every group (language and source,
+    null being a value of either) is judged by its own estimate, drawn towards its
+    language's, and that towards the whole table's, each by the weight of ``prior``
+    documents.  A table of fewer than ``least_docs`` usable documents has no estimate; all
+    of these are kept, with a null distance.
 
     A null, empty or blank text has no words and fails the base rules.  Repeated rows are
     rows like any other.  Other columns are ignored.  An empty table gives an empty result.
     """
-    freedom = len(FEATURES)
-    cutoff, scale = chi_squared_quantile(1 - tail, freedom), consistency(coverage, freedom)
+    cutoff = chi_squared_quantile(1 - tail, len(FEATURES))
     stats = statistics(docs, text_col, {"doc_id": id_col, "lang": lang_col, "source": source_col})
     rows = cut(stats.withColumn("base_failed", base_failed()).select("*", *vector()))
-    rows = cut(_grouped(rows, min_group))
-    usable = rows.filter("not base_failed").select(*GROUP, *FEATURES)
-    # The start: everything in one bin, hence plain mean and covariance, made robust by the
-    # steps that follow from the coordinate-wise medians.
-    middle = usable.groupBy(*GROUP).agg(
-        F.count("*").alias("n"), *[F.median(c).alias(f"m_{c}") for c in FEATURES]
-    )
-    apart = usable.join(
-        middle.select(*[F.col(c).alias(f"_{c}") for c in GROUP], *[f"m_{c}" for c in FEATURES]),
-        same(F.col("g_lang"), F.col("_g_lang")) & same(F.col("g_source"), F.col("_g_source")) & (F.col("level") == F.col("_level")),
+    estimates = cut(least_determinants(_levels(rows.filter("not base_failed")), coverage).coalesce(8))
+    known = estimates.filter(F.col("level") == 0).agg(F.max("n")).first()[0]
+    final = cut(_shrunk(estimates.filter(F.lit((known or 0) >= least_docs)), prior).coalesce(8))
+    placed = rows.select(
+        "*", F.col("lang").cast("string").alias("g_lang"), F.col("source").cast("string").alias("g_source"), F.lit(2).alias("level")
     )
-    spread = apart.groupBy(*GROUP).agg(
-        F.count("*").alias("n"),
-        F.array(*[F.first(f"m_{c}") / GRID for c in FEATURES]).alias("centre"),
-        F.array(*[1.4826 * F.median(F.abs(F.col(c) - F.col(f"m_{c}"))) / GRID for c in FEATURES]).alias("mad"),
-    )
-    diagonal = []
-    for i in range(freedom):
-        for j in range(i + 1):
-            own = 1 / F.sqrt(F.col("mad")[i] * F.col("mad")[i] + LEAST_SPREAD[i] ** 2)
-            diagonal.append(own if i == j else F.lit(0.0))
-    # One short row per group: few files are enough.
-    estimates = cut(spread.select(*GROUP, "n", "centre", F.array(*diagonal).alias("root")).coalesce(8))
-    octave = F.greatest(F.lit(MIN_OCTAVE), F.least(F.lit(MAX_OCTAVE), F.log2(F.greatest(_distance(), F.lit(1e-9)))))
-    bin_ = F.floor(octave * BINS_PER_OCTAVE).cast("int")
-    for _ in range(steps):
-        before = estimates
-        estimates = cut(_step(_join(usable, before), bin_, coverage, scale).coalesce(8))
-        moved = estimates.alias("x").join(
-            before.alias("y"),
-            same(F.col("x.g_lang"), F.col("y.g_lang")) & same(F.col("x.g_source"), F.col("y.g_source")) & (F.col("x.level") == F.col("y.level")),
-        ).agg(
-            F.max(F.greatest(*[F.abs(F.col("x.root")[k] - F.col("y.root")[k]) for k in range(freedom * (freedom + 1) // 2)]))
-        ).first()[0]
-        if moved is None or moved < SETTLED:
-            break
-    known = estimates.filter(F.col("n") >= min_group)
-    judged = _join(rows, known).withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    judged = _join(placed, final, "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     return judged.select(
         "doc_id", *STATS, "base_failed",
         (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"),

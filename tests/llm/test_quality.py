@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -60,26 +61,59 @@ def test_junk_goes_and_clean_documents_stay(spark):
     assert not any(r.base_failed for r in result.values())
 
 
+VECTORS = f"g_lang string, g_source string, level int, {', '.join(f'{c} long' for c in quality.FEATURES)}"
+
+
+def log_det(x, scale):
+    covariance = np.cov(x.T, bias=True) * scale + np.diag(np.square(quality.LEAST_SPREAD))
+    return np.linalg.slogdet(covariance)[1]
+
+
+def test_least_determinants_against_all_subsets(spark):
+    """Groups of 12 documents, 3 of them apart: the best of all 220 subsets of 9."""
+    rng = np.random.default_rng(8)
+    groups = {}
+    for g in range(6):
+        clean = rng.multivariate_normal([5, 1.6, 0.3, 0.2, 0.1], np.diag([0.6, 0.2, 0.4, 0.3, 0.2]) ** 2, 9)
+        bad = rng.multivariate_normal([5, 1.6, 6, 5, 4], np.eye(5) * 0.04, 3)
+        groups[f"g{g}"] = np.rint(np.vstack([clean, bad]) * quality.GRID).astype(int)
+    rows = [(g, None, 1, *map(int, v)) for g, own in groups.items() for v in own]
+    found = {r.g_lang: r for r in quality.least_determinants(spark.createDataFrame(rows, VECTORS)).collect()}
+    scale = quality.consistency(0.75, 5)
+    for g, own in groups.items():
+        x = own / quality.GRID
+        best = min(log_det(x[list(chosen)], scale) for chosen in combinations(range(12), 9))
+        assert found[g].n == 12 and found[g].log_det == pytest.approx(best, abs=1e-6), g
+
+
+def test_small_groups_are_drawn_towards_their_language(spark):
+    """Junk that is alone in its source is judged by its language; no usable row is left unjudged."""
+    rng = random.Random(9)
+    rows = corpus(rng, 300, 0, "en", "big") + corpus(rng, 8, 0, "en", "small", 1000) + corpus(rng, 0, 5, "en", "junk", 2000)
+    rows += corpus(rng, 3, 0, "xx", "other", 3000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    result = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
+    assert {d for d, r in result.items() if not r.kept} == set(range(2000, 2005))
+    assert all(r.distance is not None for r in result.values())
+
+
 def test_estimates_resist_contamination_and_equal_numpy(spark):
     """The distributed steps against the same concentration over plain arrays."""
     rng = np.random.default_rng(3)
     clean = rng.multivariate_normal([5, 1.6, 0.3, 0.2, 0.1], np.diag([0.6, 0.2, 0.4, 0.3, 0.2]) ** 2, 900)
     bad = rng.multivariate_normal([5, 1.6, 5, 3, 2], np.eye(5) * 0.01, 200)
     grid = np.rint(np.vstack([clean, bad]) * quality.GRID).astype(int)
-    rows = [("en", "s", 0, *map(int, v)) for v in grid]
-    frame = spark.createDataFrame(rows, f"g_lang string, g_source string, level int, {', '.join(f'{c} long' for c in quality.FEATURES)}")
+    rows = [("en", "s", 2, *map(int, v)) for v in grid]
+    frame = spark.createDataFrame(rows, VECTORS)
     start = np.median(grid, axis=0) / quality.GRID
     scale = quality.consistency(0.75, 5)
-    from pyspark.sql import functions as F
-
+    lower = np.eye(5)[np.tril_indices(5)].tolist()
     estimate = spark.createDataFrame(
-        [("en", "s", 0, len(rows), start.tolist(), quality._whiten(np.eye(5)))], quality.ESTIMATE
+        [("en", "s", 2, 0, len(rows), start.tolist(), lower, quality._whiten(np.eye(5)), 0.0)], quality.ESTIMATE
     )
     x, centre, root = grid / quality.GRID, start, np.linalg.inv(np.linalg.cholesky(np.eye(5) + np.diag(np.square(quality.LEAST_SPREAD))))
-    octave = F.log2(F.greatest(quality._distance(), F.lit(1e-9)))
-    bin_ = F.floor(octave * quality.BINS_PER_OCTAVE).cast("int")
     for _ in range(4):
-        estimate = quality._step(quality._join(frame, estimate), bin_, 0.75, scale)
+        estimate = quality._step(quality._join(frame, estimate), 0.75, scale)
         d = np.maximum((((x - centre) @ root.T) ** 2).sum(axis=1), 1e-9)
         bins = np.floor(np.log2(d) * quality.BINS_PER_OCTAVE)
         order = np.sort(bins)
