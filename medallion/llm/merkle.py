@@ -31,6 +31,7 @@ LINE = re.compile(r"[^\n]*\n|[^\n]+")
 LEAF = re.compile(r"\s*+(?:\S{1,8}+(?<![.!?])\s*+)?+\S{0,8}+\s*+")
 DIGEST = 16
 SHOWN = 8
+PRINTED = re.compile(rf"[0-9a-f]{{{SHOWN}}}")
 SECTION_EVERY = 8  # on average so many paragraphs without a blank line are a section
 
 
@@ -50,12 +51,22 @@ def _inner(children: list[Node]) -> Node:
     return Node(_digest(b"".join(c.digest for c in children)), children[0].start, children[-1].end, children)
 
 
+def _leaves(line: str) -> tuple[list[str], list[bytes]]:
+    """The pieces of a line and their digests."""
+    pieces = LEAF.findall(line)
+    pieces.pop()  # the empty match at the end
+    return pieces, [hashlib.blake2b(b"\0" + p.encode("utf-8", "surrogatepass"), digest_size=DIGEST).digest() for p in pieces]
+
+
+def _ends_section(line: str, digest: bytes) -> bool:
+    return line.isspace() or digest[0] % SECTION_EVERY == 0
+
+
 def _paragraph(line: str, start: int) -> Node:
-    leaves, at = [], 0
-    while at < len(line):
-        end = LEAF.match(line, at).end()
-        leaves.append(Node(_digest(b"\0" + line[at:end].encode("utf-8", "surrogatepass")), start + at, start + end, []))
-        at = end
+    leaves, at = [], start
+    for piece, digest in zip(*_leaves(line), strict=True):
+        leaves.append(Node(digest, at, at + len(piece), []))
+        at += len(piece)
     return _inner(leaves)
 
 
@@ -67,7 +78,7 @@ def tree(text: str | None) -> Node:
         node = _paragraph(line, at)
         at = node.end
         paragraphs.append(node)
-        if line.isspace() or node.digest[0] % SECTION_EVERY == 0:
+        if _ends_section(line, node.digest):
             sections.append(_inner(paragraphs))
             paragraphs = []
     if paragraphs:
@@ -76,12 +87,19 @@ def tree(text: str | None) -> Node:
 
 
 def fingerprint(text: str | None) -> str:
-    root = tree(text)
-    parts = [
-        ",".join("".join(leaf.digest.hex()[:SHOWN] for leaf in paragraph.children) for paragraph in section.children)
-        for section in root.children
-    ]
-    return f"{root.digest.hex()}:{'/'.join(parts)}"
+    """The same tree's digests, without its nodes."""
+    sections, shown, digests, paragraphs = [], [], [], []
+    lines = LINE.findall(text or "")
+    for nth, line in enumerate(lines):
+        leaves = _leaves(line)[1]
+        digest = _digest(b"".join(leaves))
+        digests.append(digest)
+        paragraphs.append(b"".join([leaf[: SHOWN // 2] for leaf in leaves]).hex())
+        if _ends_section(line, digest) or nth == len(lines) - 1:
+            sections.append(_digest(b"".join(digests)))
+            shown.append(",".join(paragraphs))
+            digests, paragraphs = [], []
+    return f"{_digest(b''.join(sections)).hex()}:{'/'.join(shown)}"
 
 
 def likeness(left: str, right: str) -> float:
@@ -100,8 +118,8 @@ def likeness(left: str, right: str) -> float:
         both = own & other
         common += sum(leaves(part) * n for part, n in both.items())
         a, b = mark.join((own - both).elements()), mark.join((other - both).elements())
-    pieces = lambda s: Counter(p[i : i + SHOWN] for p in s.split(",") for i in range(0, len(p), SHOWN))
-    common += (pieces(a) & pieces(b)).total()
+    own, other = Counter(PRINTED.findall(a)), Counter(PRINTED.findall(b))
+    common += sum([min(n, other[piece]) for piece, n in own.items() if piece in other])
     return 2 * common / total
 
 

@@ -21,6 +21,15 @@ def test_leaves_are_the_text():
         assert "".join(text[x.start : x.end] for x in leaves(merkle.tree(text))) == text
 
 
+def test_fingerprints_show_the_tree():
+    rng = random.Random(7)
+    for n in [0, 1, 2, *range(3, 200, 7)]:
+        text = random_text(rng, n)
+        root = merkle.tree(text)
+        shown = "/".join(",".join("".join(x.digest.hex()[: merkle.SHOWN] for x in p.children) for p in s.children) for s in root.children)
+        assert merkle.fingerprint(text) == f"{root.digest.hex()}:{shown}"
+
+
 def test_equal_fingerprints_mean_equal_texts():
     rng = random.Random(2)
     texts = {random_text(rng, rng.randrange(12)) for _ in range(500)} | {"a\nb", "a b", "a\n\nb", "a", "a\n", "", " "}
