@@ -31,6 +31,12 @@ def _measure(dim: DataFrame, key: str, columns: Sequence[str]) -> int:
     return facts["bytes"]
 
 
+def _free(name: str, taken: set[str]) -> str:
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def enrich(
     df: DataFrame,
     dim: DataFrame,
@@ -46,13 +52,29 @@ def enrich(
 
     A dimension measured below ``broadcast_bytes`` is broadcast, so the facts are not
     shuffled.  A larger one is joined by shuffle, where adaptive execution splits the
-    partitions of hot and NULL keys.  Only the plan differs, never the result.
+    partitions of hot and NULL keys.  Several roles are then looked up for the distinct
+    combinations of keys, which are narrow and combined before their shuffle, so the facts
+    themselves move once, not once per role.  Only the plan differs, never the result.
     """
     small = _measure(dim, key, columns) <= broadcast_bytes
-    for prefix, fact_key in roles.items():
-        side = dim.filter(F.col(key).isNotNull()).select(
+    sides = {
+        prefix: dim.filter(F.col(key).isNotNull()).select(
             *[F.col(c).alias(f"{prefix}_{c}") for c in [key, *columns]]
         )
-        matched = df[fact_key] == side[f"{prefix}_{key}"]
-        df = df.join(F.broadcast(side) if small else side.hint("merge"), matched, "left")
-    return df
+        for prefix in roles
+    }
+    if small or len(roles) == 1:
+        for prefix, fact_key in roles.items():
+            matched = df[fact_key] == sides[prefix][f"{prefix}_{key}"]
+            df = df.join(F.broadcast(sides[prefix]) if small else sides[prefix].hint("merge"), matched, "left")
+        return df
+    taken = {c.lower() for frame in [df, *sides.values()] for c in frame.columns}
+    own = {}
+    for fact_key in dict.fromkeys(roles.values()):
+        own[fact_key] = _free(f"_used_{fact_key}", taken)
+    used = df.select(*[F.col(k).alias(name) for k, name in own.items()]).distinct()
+    for prefix, fact_key in roles.items():
+        matched = F.col(own[fact_key]) == F.col(f"{prefix}_{key}")
+        used = used.join(sides[prefix].hint("merge"), matched, "left")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(name)) for k, name in own.items()])
+    return df.join(used.hint("merge"), same, "left").drop(*own.values())

@@ -31,17 +31,19 @@ def global_row_number(
     order: Sequence[str],
     scratch: Scratch,
     range_rows: int = RANGE_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Prepend ``row_number() over (order by order)``, ascending with NULLs last.
 
     ``order`` has to be total, and the input repeatable and cheap to read, since it is
-    counted and sampled before it is written.  The rows are range-partitioned on the *whole*
-    order, about ``range_rows`` a range, which splits even a single hot value of the first column, and
-    written once.  One row per range is broadcast.  The result reads from ``scratch``, so
+    sampled before it is written.  ``rows`` is an upper bound on its rows, which only sets the number
+    of ranges; without one they are counted first, in a read of their own.  The rows are
+    range-partitioned on the *whole* order, at most about ``range_rows`` a range, which splits
+    even a single hot value of the first column, and written once.  One row per range is broadcast.  The result reads from ``scratch``, so
     drop that only when the result is written.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(partitions, -(-df.count() // range_rows))
+    ranges = max(partitions, -(-(df.count() if rows is None else rows) // range_rows))
     ascending = [F.col(c).asc_nulls_last() for c in order]
     placed = scratch.keep(
         df.repartitionByRange(ranges, *ascending)

@@ -164,14 +164,20 @@ def fact_columns(staged: DataFrame) -> DataFrame:
     return staged.select(*preset.FACT_COLUMNS)
 
 
-def build_fact(staged: DataFrame, scratch: Scratch, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """The fact: its columns behind a gap-free global number in pickup order."""
+def build_fact(
+    staged: DataFrame, scratch: Scratch, range_rows: int = RANGE_ROWS, rows: int | None = None
+) -> DataFrame:
+    """The fact: its columns behind a gap-free global number in pickup order.
+
+    ``rows`` is an upper bound on the staged trips, where one is known without reading them.
+    """
     return global_row_number(
         fact_columns(staged),
         preset.FACT_KEY,
         preset.FACT_ORDER,
         scratch,
         range_rows,
+        rows,
     )
 
 

@@ -1,7 +1,12 @@
 import dataclasses
+import datetime as dt
+import random
+from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from medallion.operators.checks import (
     ChecksFailed,
@@ -30,6 +35,69 @@ def test_single_checks(table):
     assert check_no_rows(table, F.col("v") < 0).count() == 1
 
 
+VALUES = {
+    "bigint": [0, 1, -1, 63, 64, -64, -65, 2**63 - 1, -(2**63), 2**62, 5],
+    "int": [0, 63, 64, -1, 2**31 - 1, -(2**31)],
+    "tinyint": [0, 63, 64, 127, -128, -1],
+    "string": ["", "a", "A", "a ", "ä", "x" * 300],
+    "double": [0.0, 1.5, float("inf"), float("nan"), -1.5],
+    "boolean": [True, False],
+    "date": [dt.date(1969, 12, 31), dt.date(1970, 1, 1), dt.date(2025, 1, 1)],
+    "timestamp": [dt.datetime(1969, 12, 31, 23), dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 1, 0, 0, 0, 1)],
+    "timestamp_ntz": [dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 1, 0, 0, 0, 1)],
+    "decimal(18,0)": [Decimal(0), Decimal(63), Decimal(64), Decimal(-(10**17))],
+    "decimal(38,0)": [Decimal(0), Decimal(10**37), Decimal(10**37 + 1)],
+    "decimal(10,2)": [Decimal("0.01"), Decimal("0.02"), Decimal("0.10")],
+    "binary": [b"", b"a", b"\x00"],
+    "array<int>": [[], [1], [1, 2]],
+}
+
+
+@pytest.mark.parametrize("kind", VALUES)
+def test_unique_values_of_every_type(spark, kind):
+    values = VALUES[kind]
+    frame = lambda rows: spark.createDataFrame([(v,) for v in rows], f"v {kind}")
+    clean, dirty = frame([*values, None, None]), frame([*values, values[0], values[-1], values[-1], None, None])
+    found = check_unique(clean, "v")
+    assert found.collect() == [] and found.columns == ["value", "rows"]
+    assert found.schema["value"].dataType == clean.schema["v"].dataType
+    assert sorted((str(r.value), r.rows) for r in check_unique(dirty, "v").collect()) == sorted(
+        [(str(dirty.first().v), 2), (str(dirty.collect()[len(values) + 1].v), 3)]
+    )
+
+
+def test_equal_zeros_and_nans_repeat(spark):
+    frame = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (-float("nan"),)], "v double")
+    assert sorted(r.rows for r in check_unique(frame, "v").collect()) == [2, 2]
+
+
+def test_unique_against_a_plain_count(spark):
+    """Values that share words without being equal, scattered over tasks, a third of all rows on one."""
+    rng = random.Random(5)
+    values = [rng.choice([7, rng.randrange(-3000, 3000), rng.randrange(-3000, 3000)]) for _ in range(3000)]
+    counts = {v: n for v, n in Counter(values).items() if n > 1}
+    frame = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(7)
+    for kind in ("bigint", "string", "double"):
+        found = check_unique(frame.select(F.col("v").cast(kind)), "v").collect()
+        assert {int(float(r.value)): r.rows for r in found} == counts
+
+
+def test_a_dense_key_shuffles_words_not_values(spark):
+    frame = spark.range(0, 64 * 1000, 1, 4).withColumnRenamed("id", "v")
+    words = []
+    real = DataFrame.filter
+
+    def watch(self, condition):
+        if "_marks" in self.columns:
+            words.append(self.count())
+        return real(self, condition)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataFrame, "filter", watch)
+        assert check_unique(frame, "v").count() == 0
+    assert words == [1000]
+
+
 def test_report(table):
     report = run_checks(
         [TableChecks("t", table, ("k", "v"), ("k", "v"), {"nonneg": (F.col("v") < 0,)})]

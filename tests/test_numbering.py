@@ -66,3 +66,24 @@ def test_numbers_continue_over_hour_and_midnight(spark):
     assert [r.n for r in rows] == list(range(1, 601))
     known = [r.ts for r in rows if r.ts]
     assert known == sorted(known) and all(r.ts is None for r in rows[len(known):])
+
+
+def test_a_known_bound_saves_the_count(spark):
+    """The bound sets the number of ranges only; a wrong one changes no number."""
+    df = frame(spark, hot_share=0.2)
+    for bound in (600, 6000, 0):
+        result = numbered(df, range_rows=100, rows=bound)
+        assert {(r.n, r.b) for r in result.collect()} == literal(df)
+
+
+def test_the_input_is_sampled_and_written_but_not_counted(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = frame(spark).coalesce(2).mapInArrow(seen, "ts timestamp, a int, b int")
+    numbered(df, rows=600)
+    assert read.value == 2 * 600
