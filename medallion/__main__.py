@@ -48,6 +48,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         "--broadcast-bytes", type=int, default=BROADCAST_BYTES,
         help="largest lookup to broadcast; a larger one is shuffled, with the same result",
     )
+    parser.add_argument("--resume", action="store_true", help="with all: leave out steps that are done")
     parser.add_argument("--range-rows", type=int, default=RANGE_ROWS, help="rows a task numbers")
     return parser.parse_args(arguments)
 
@@ -68,6 +69,7 @@ def configure(options: argparse.Namespace) -> pipeline.RunConfig:
         allow_empty=options.allow_empty,
         broadcast_bytes=options.broadcast_bytes,
         range_rows=options.range_rows,
+        resume=options.resume,
     )
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
@@ -14,8 +14,16 @@ from medallion.operators.quality import RowCounter, require_valid, summary_colum
 from medallion.plans import models, preset
 from medallion.plans.assertions import preset_checks
 from medallion.plans.marts import MARTS, all_marts, pick_marts
+from medallion.plans.resume import is_done, mark_done, published
 from medallion.session import apply_settings
-from medallion.sources.files import MONTH_LAYOUT, read_lookup, read_months, require_inputs
+from medallion.sources.files import (
+    MONTH_LAYOUT,
+    files_state,
+    month_path,
+    read_lookup,
+    read_months,
+    require_inputs,
+)
 from medallion.sources.scratch import Scratch
 from medallion.sources.tables import (
     ensure_layers,
@@ -55,6 +63,7 @@ class RunConfig:
     range_rows: int = RANGE_ROWS
     check_before_publish: bool = False
     fail_on_checks: bool = True
+    resume: bool = False
 
     def raw(self, table: str) -> str:
         return f"{self.layers.raw}.{table}"
@@ -65,6 +74,10 @@ class RunConfig:
     def gold(self, table: str) -> str:
         return f"{self.layers.gold}.{table}"
 
+    def settings(self) -> str:
+        """All that decides what the steps make."""
+        return repr(replace(self, months=tuple(self.months), fail_on_checks=True, resume=False))
+
 
 # Published table names.
 BRONZE_TRIPS = "bronze_yellow_trip_raw"
@@ -219,17 +232,39 @@ def check(spark: SparkSession, config: RunConfig) -> DataFrame:
     return run_checks(preset_checks(tables, _views(tables)))
 
 
+def _step(
+    spark: SparkSession,
+    config: RunConfig,
+    work: Callable[[SparkSession, RunConfig], object],
+    inputs: Sequence[str] | None,
+    outputs: Sequence[str],
+) -> None:
+    settings = config.settings()
+    if config.resume and is_done(spark, work.__name__, settings, inputs, outputs):
+        return
+    work(spark, config)
+    mark_done(spark, work.__name__, settings, inputs, outputs)
+
+
 def run(spark: SparkSession, config: RunConfig) -> DataFrame:
     """Everything in order; returns the check report and raises if a check failed.
 
     By default the checks follow the publication, so failing tables are visible; see
     ``check_before_publish``.  ``fail_on_checks=False`` only reports.
+
+    With ``resume``, steps are left out that an earlier run finished with the same settings, from the
+    same inputs, and whose tables nobody published anew since.  The views and the checks
+    are never left out.  Another release of the code is not noticed: do not resume across one.
     """
     apply_settings(spark)
     require_inputs(spark, config.trips_root, config.months, config.layout)
-    bronze(spark, config)
-    silver(spark, config)
+    raw_files = [*[month_path(config.trips_root, m, config.layout) for m in config.months], config.lookup_path]
+    raw = [config.raw(BRONZE_TRIPS), config.raw(BRONZE_ZONES)]
+    clean = [config.raw(SILVER_ZONES), config.raw(SILVER_TRIPS), config.raw(SILVER_ENRICHED)]
+    marts = [config.gold(name) for name in [DIM_ZONE, FACT, *MARTS]]
+    _step(spark, config, bronze, [files_state(spark, raw_files)], raw)
+    _step(spark, config, silver, published(spark, raw), clean)
     staging(spark, config)
-    gold(spark, config)
+    _step(spark, config, gold, published(spark, clean), marts)
     report = check(spark, config)
     return require_passed(report) if config.fail_on_checks else collected(report)

@@ -141,6 +141,18 @@ def input_coverage(
     )
 
 
+def files_state(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Stands for path, length and time of every file below ``paths`` that is not empty; reads no content."""
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(list(paths))
+        .select(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)").alias("file"))
+    )
+    state = listing.agg(F.count("*"), F.sum("file")).first()
+    return f"{state[0]} files, {state[1]}"
+
+
 def require_inputs(
     spark: SparkSession, root: str, months: Sequence[str], layout: str = MONTH_LAYOUT
 ) -> DataFrame:

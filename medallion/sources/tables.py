@@ -10,6 +10,7 @@ dropped, and no folder is removed except through the table that owns it.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import re
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
@@ -93,9 +94,20 @@ def _is_view(spark: SparkSession, name: str) -> bool:
     return _described(spark, name).get("Type") == "VIEW"
 
 
+def table_property(spark: SparkSession, name: str, key: str) -> str | None:
+    """A property of a table or view; None if it has none of that name."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return next((r["value"] for r in rows if r["key"] == key), None)
+
+
+def _mark(name: str) -> str:
+    """A digest, since Spark hides property values that contain words such as ``url`` or ``token``."""
+    return hashlib.sha256(name.lower().encode()).hexdigest()
+
+
 def _marked(spark: SparkSession, version: str, name: str) -> bool:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {version}").collect()
-    return any(r["key"] == MARK and r["value"] == name for r in rows)
+    """Versions of earlier releases bear the name itself."""
+    return table_property(spark, version, MARK) in (_mark(name), name)
 
 
 def _names(spark: SparkSession, database: str) -> list[str]:
@@ -111,6 +123,14 @@ def versions(spark: SparkSession, name: str) -> list[str]:
     return [v for v in found if _marked(spark, v, name.lower())]
 
 
+def current_version(spark: SparkSession, name: str) -> str | None:
+    """The version that a published name shows; None if it is not a view over one of its own."""
+    if not spark.catalog.tableExists(name) or not _is_view(spark, name):
+        return None
+    shown = re.fullmatch(r"SELECT \* FROM (\S+)", _described(spark, name).get("View Text", ""))
+    return shown[1] if shown and shown[1] in versions(spark, name) else None
+
+
 def _write_and_point(spark: SparkSession, writer: DataFrameWriter, name: str, keep_versions: int) -> None:
     database, _, table = name.rpartition(".")
     database = database or spark.catalog.currentDatabase()
@@ -120,7 +140,7 @@ def _write_and_point(spark: SparkSession, writer: DataFrameWriter, name: str, ke
     _restore(spark, name)
     try:
         writer.saveAsTable(full)
-        spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ('{MARK}' = '{name.lower()}')")
+        spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ('{MARK}' = '{_mark(name)}')")
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         # A write that failed before the table was made leaves the folder it would have had.

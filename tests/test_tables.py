@@ -131,3 +131,14 @@ def test_a_reader_of_a_kept_version_goes_on(spark, layer):
     reader = spark.table(f"{layer}.t")
     publish_table(spark.range(5), f"{layer}.t", keep_versions=1)
     assert reader.count() == 3 and spark.table(f"{layer}.t").count() == 5
+
+
+@pytest.mark.parametrize("name", ["plain", "mart_hourly", "token_counts", "password_secret"])
+def test_versions_are_known_and_dropped_whatever_the_name(spark, tmp_path, name):
+    """Spark hides property values that look like an address or a credential."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS hidden LOCATION '{tmp_path}/hidden'")
+    for rows in (2, 3, 4):
+        assert publish_table(spark.range(rows), f"hidden.{name}").count() == rows
+        assert len(versions(spark, f"hidden.{name}")) == 1
+    unpublish(spark, f"hidden.{name}")
+    assert not [t for t in spark.catalog.listTables("hidden") if t.name.startswith(name)]
