@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
@@ -193,6 +193,21 @@ def read_archive(content: bytes) -> Iterator[dict]:
 # --- tables -------------------------------------------------------------------------
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI; without a scheme it lies in Spark's default file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    default = hadoop.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration())
+    return hadoop.Path(path).makeQualified(default, hadoop.Path("/")).toUri().toString()
+
+
+def located(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a URI, and the path in it; for tasks."""
+    scheme = urlsplit(uri).scheme
+    if scheme in ("s3a", "s3n"):  # names of other clients of the same store
+        uri = "s3" + uri[len(scheme):]
+    return pyarrow.fs.FileSystem.from_uri(uri)
+
+
 def decide(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
     """Pages (id, url, body) with ``digest`` and ``refers_to`` (null: store the payload).
 
@@ -212,18 +227,19 @@ def write_archives(
 ) -> DataFrame:
     """Writes ``*.warc.zst`` below ``folder``; one row (path, n_records, size) per archive.
 
-    ``folder`` must be one that every executor reaches, as a URI or an absolute path.
+    ``folder`` must be one that every executor reaches, as a URI or an absolute path; without
+    a scheme it lies in Spark's default file system, and the paths returned are URIs in any case.
     Each evaluation of the result writes the archives; store the rows, and read only the
     archives they name.  A null body is an empty payload; a null url or id has no header.
     """
+    target = qualified(pages.sparkSession, folder)
     picked = pages.select(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(body_col), F.lit("")).alias("body")
     )
     decided = decide(picked, revisit_from)
 
     def make(rows: Iterator[dict]) -> Iterator[tuple]:
-        scheme = urlsplit(folder).scheme
-        system, root = pyarrow.fs.FileSystem.from_uri(folder if scheme else f"file://{folder}")
+        system, root = located(target)
         system.create_dir(root, recursive=True)
         held: list[bytes] = []
         samples: list[bytes] = []
@@ -234,7 +250,7 @@ def write_archives(
             content = build_archive(held, train_dictionary(samples))
             with system.open_output_stream(f"{root}/{name}", compression=None) as out:
                 out.write(content)
-            return f"{folder}/{name}", len(held), len(content)
+            return f"{target}/{name}", len(held), len(content)
 
         for row in rows:
             payload = row["body"].encode("utf-8", "surrogatepass")
@@ -253,15 +269,21 @@ def write_archives(
     return map_rows(decided, "path string, n_records long, size long", make)
 
 
-def read_archives(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row per record of the named archives; a malformed one fails the job."""
+def read_archives(spark: SparkSession, archives: DataFrame | Sequence[str]) -> DataFrame:
+    """One row per record of the named archives; a malformed or missing one fails the job.
+
+    ``archives`` has the archives' URIs in its column ``path``, as ``write_archives`` returns them.
+    The rows are dealt to tasks, which open one archive after the other: neither the names nor a
+    listing of the folder pass through the driver.
+    """
     schema = (
         "page_id long, url string, payload binary, payload_bytes long, payload_digest string,"
         " record_type string, refers_to long"
     )
-    if not paths:
-        return spark.createDataFrame([], schema)
-    files = spark.read.format("binaryFile").load(paths).select("content")
+    if not isinstance(archives, DataFrame):
+        archives = spark.createDataFrame([(qualified(spark, path),) for path in archives], "path string")
+    tasks = min(archives.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    files = archives.select("path").repartition(max(tasks, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.rsplit(" ", 1)[0].strip() for c in schema.split(",")]
@@ -273,9 +295,12 @@ def read_archives(spark: SparkSession, paths: list[str]) -> DataFrame:
             )
 
         for files_ in batches:
-            for content in files_.column(0):
+            for path in files_.column(0).to_pylist():
+                system, name = located(path)
+                with system.open_input_stream(name, compression=None) as opened:
+                    content = opened.read()
                 held, size = [], 0
-                for record in read_archive(content.as_py()):
+                for record in read_archive(content):
                     held.append(record)
                     size += len(record["payload"] or b"")
                     if len(held) >= 5_000 or size >= 8 << 20:
@@ -299,7 +324,7 @@ def round_trip(
     spark = pages.sparkSession
     scratch = Scratch(spark, "warc")
     written = scratch.keep(write_archives(pages, scratch.location("archives"), date, id_col, url_col, body_col), "manifest")
-    return read_archives(spark, [r.path for r in written.select("path").toLocalIterator()])
+    return read_archives(spark, written)
 
 
 # What op6_warc returns, for DuckDB over the table ``pages``.

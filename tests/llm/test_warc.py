@@ -113,3 +113,29 @@ def test_archives_are_bounded_and_named(spark, tmp_path):
 
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_folder_without_a_scheme_lies_in_the_default_file_system(spark):
+    hadoop = spark._jsc.hadoopConfiguration()
+    before = hadoop.get("fs.defaultFS")
+    try:
+        hadoop.set("fs.defaultFS", "hdfs://somewhere:8020")
+        assert warc.qualified(spark, "/data/w") == "hdfs://somewhere:8020/data/w"
+        assert warc.qualified(spark, "file:/data/w").startswith("file:/")
+        assert warc.qualified(spark, "s3a://bucket/w") == "s3a://bucket/w"
+    finally:
+        hadoop.set("fs.defaultFS", before)
+    assert warc.qualified(spark, "/data/w") == "file:///data/w"
+
+
+def test_writers_and_readers_use_the_qualified_folder(spark, tmp_path):
+    """Also with blanks in its name; files that no row names are not read, a missing one fails."""
+    pages = spark.range(30).selectExpr("id AS page_id", "'u' AS url", "repeat('abc', 500) AS html")
+    folder = tmp_path / "a b%20c"
+    made = warc.write_archives(pages, str(folder), DATE, archive_bytes=10_000).collect()
+    assert all(r.path.startswith("file:///") for r in made) and len(list(folder.iterdir())) == len(made) > 1
+    (folder / "left-over.warc.zst").write_bytes(b"half")
+    named = spark.createDataFrame(made).drop("size")
+    assert sorted(r.page_id for r in warc.read_archives(spark, named).collect()) == list(range(30))
+    with pytest.raises(Exception, match="FileNotFound|No such file"):
+        warc.read_archives(spark, [made[0].path + "x"]).collect()
