@@ -11,6 +11,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,12 +66,35 @@ def release(spark: SparkSession) -> None:
     delete_folder(spark, f"{scratch_root(spark)}/medallion-{spark.sparkContext.applicationId}")
 
 
+_scope: ContextVar[list[Scratch] | None] = ContextVar("scratch_scope", default=None)
+
+
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Drop at the end every scratch folder that was made inside, by whatever function.
+
+    For a step whose result is written elsewhere before the end: frames that read those
+    folders are gone afterwards.  Scopes nest; each drops its own.
+    """
+    made: list[Scratch] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for scratch in made:
+            scratch.drop()
+
+
 class Scratch:
     """A fresh folder of the application; as a context manager it is dropped at the end."""
 
     def __init__(self, spark: SparkSession, label: str = "run"):
         self.spark = spark
         self.path = f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+        inside = _scope.get()
+        if inside is not None:
+            inside.append(self)
 
     def location(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -79,6 +105,10 @@ class Scratch:
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def discard(self, name: str) -> None:
+        """Drop what ``keep`` wrote under that name."""
+        delete_folder(self.spark, self.location(name))
+
     def drop(self) -> None:
         delete_folder(self.spark, self.path)
 

@@ -7,7 +7,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from medallion.sources.scratch import Scratch, application_folder, release, scratch_root
+from medallion.sources.scratch import Scratch, application_folder, release, scratch_root, scratch_scope
 
 
 def session(folder, master):
@@ -74,3 +74,29 @@ def test_a_finished_application_leaves_nothing(tmp_path):
         time.sleep(0.5)
     assert [p for p in root.rglob("*") if p.is_file()] == []
     assert not any(p.name.startswith("medallion-") for p in root.iterdir())
+
+
+def test_a_scope_drops_what_was_made_inside(spark):
+    outer = Scratch(spark, "outer")
+    kept = outer.keep(spark.range(3), "kept")
+    with scratch_scope():
+        inner = Scratch(spark, "inner")
+        result = outer.keep(inner.keep(spark.range(5), "part"), "result")
+        with scratch_scope():
+            nested = Scratch(spark, "nested")
+            nested.keep(spark.range(2), "part")
+        assert not os.path.exists(nested.path) and os.path.exists(inner.path)
+    assert not os.path.exists(inner.path)
+    assert (kept.count(), result.count()) == (3, 5)
+    outer.discard("kept")
+    assert not os.path.exists(outer.location("kept")) and result.count() == 5
+
+
+def test_a_scope_that_fails_drops_too(spark):
+    with pytest.raises(KeyError), scratch_scope():
+        inner = Scratch(spark, "failing")
+        inner.keep(spark.range(2), "part")
+        raise KeyError
+    assert not os.path.exists(inner.path)
+    after = Scratch(spark, "after")
+    assert after.keep(spark.range(2), "part").count() == 2
