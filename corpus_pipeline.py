@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from medallion.llm import langid, mixing, packing, simhash, templates
 from medallion.llm.common import ship
-from medallion.sources.scratch import Scratch
+from medallion.sources.scratch import Scratch, scratch_scope
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,9 +69,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``.
+
+    Once a stage is written, the stage before it goes, and what its operators had stored.
+    """
     scratch = Scratch(spark, "corpus")
     docs = ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
-        docs = scratch.keep(stage(spark, docs, sf_dir), f"stage{number}")
+        with scratch_scope():
+            docs = scratch.keep(stage(spark, docs, sf_dir), f"stage{number}")
+        if number:
+            scratch.discard(f"stage{number - 1}")
     return docs

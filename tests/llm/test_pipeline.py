@@ -1,3 +1,4 @@
+import os
 from collections import Counter
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 import corpus_pipeline
 from medallion.llm import langid, simhash, templates
+from medallion.sources.scratch import application_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 NAMES = ["language id", "line dedup", "simhash near-dedup", "source mixing", "best-fit packing"]
@@ -78,7 +80,11 @@ def test_packing_holds_every_draw(stages):
 
 
 def test_registered_run_equals_the_stages(spark, stages):
+    before = set(os.listdir(application_folder(spark)))
     made = entry_point.queries()["pipeline"](spark, SF_DIR)
+    # All that is left on disk is the last stage.
+    (left,) = set(os.listdir(application_folder(spark))) - before
+    assert os.listdir(os.path.join(application_folder(spark), left)) == [f"stage{len(corpus_pipeline.STAGES) - 1}"]
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert Counter(map(tuple, made.select(*columns).collect())) == Counter(map(tuple, stages[5].select(*columns).collect()))
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in entry_point.oracle_sql()
