@@ -10,7 +10,8 @@ template that is constant enough and occurs in enough documents recurs, and so d
 that several documents have word for word.  All documents but the first lose such lines.
 
 Everything is counted in documents: a document with many lines of one kind counts once.  Only
-distinct lines of leaves with different lines are taken apart, into hashes of their tokens.
+distinct lines of leaves with different lines are taken apart, into hashes of their tokens;
+lines that differ in their digits only are different, too.
 A document with one such line in a leaf counts through its line; only documents with
 several are followed one by one.  Templates depend on counts, never on the order of lines.
 """
@@ -118,24 +119,28 @@ def _open_paths(paths: DataFrame, min_docs: int) -> DataFrame:
     return found.select("path", "best.leaf", "best.open")
 
 
-def _candidates(rows: DataFrame, min_docs: int, scratch: Scratch) -> DataFrame:
-    """(doc_id, h, mask, leaf, open): lines of leaves that may have templates.
+def _candidates(rows: DataFrame, min_docs: int, min_equal: int, scratch: Scratch) -> DataFrame:
+    """(doc_id, h, mask, leaf, open, of_leaf): lines of leaves that may have templates.
 
-    These are leaves of enough documents with different lines in them.
+    These are leaves of enough documents, but for those that hold one line word for word: this
+    recurs by itself where ``min_equal`` documents are enough.
     """
     paths = cut(_paths(rows))
     opened = cut(_open_paths(paths, min_docs))
-    few = rows.select(*DOC, "mask", "path")
-    apart = _marked(few, "path", opened).join(opened, "path").select(*DOC, "mask", "leaf", "open")
+    # A line and its mask are the same text unless a token was replaced.
+    few = rows.select(*DOC, "mask", "path", (F.col("line") != F.col("mask")).alias("varied"))
+    apart = _marked(few, "path", opened).join(opened, "path").select(*DOC, "mask", "leaf", "open", "varied")
     # A path that too few documents take has no template of its own.
     taken = _marked(few, "path", paths.filter(F.col("n") >= min_docs))
-    whole = taken.select(*DOC, "mask", F.col("path").alias("leaf"), F.lit(-1).alias("open"))
+    whole = taken.select(*DOC, "mask", F.col("path").alias("leaf"), F.lit(-1).alias("open"), "varied")
     both = scratch.keep(whole.unionByName(apart).distinct(), "placed")
-    leaves = both.groupBy("leaf", *DOC).agg(F.min("mask").alias("lo"), F.max("mask").alias("hi")).groupBy("leaf").agg(
-        F.count("*").alias("of_leaf"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    span = [F.min("mask").alias("lo"), F.max("mask").alias("hi"), F.max("varied").alias("varied")]
+    leaves = both.groupBy("leaf", *DOC).agg(*span).groupBy("leaf").agg(
+        F.count("*").alias("of_leaf"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("varied").alias("varied")
     )
-    useful = cut(leaves.filter((F.col("of_leaf") >= min_docs) & (F.col("lo") != F.col("hi"))).select("leaf", "of_leaf"))
-    return scratch.keep(_marked(both, "leaf", useful).join(useful, "leaf"), "candidates")
+    different = (F.col("lo") != F.col("hi")) | F.col("varied") | F.lit(min_equal > min_docs)
+    useful = cut(leaves.filter((F.col("of_leaf") >= min_docs) & different).select("leaf", "of_leaf"))
+    return scratch.keep(_marked(both.drop("varied"), "leaf", useful).join(useful, "leaf"), "candidates")
 
 
 def _by_document(candidates: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -209,7 +214,7 @@ def recurring_lines(
     scratch = Scratch(docs.sparkSession, "templates")
     parsed = parsed_lines(docs, id_col, text_col, depth)
     rows = scratch.keep(parsed.drop("text"), "rows")
-    candidates = _candidates(rows, min_docs, scratch)
+    candidates = _candidates(rows, min_docs, min_equal, scratch)
     single, several = _by_document(candidates, scratch)
     leaves = candidates.select("leaf", "mask", "open", "of_leaf").distinct()
     said = _marked(parsed.select("mask", "text"), "mask", candidates).distinct()

@@ -209,3 +209,21 @@ def test_a_template_is_found_whatever_the_size(spark, size):
     lost = brute_force(texts)
     assert lost == {d: {0} for d in [*range(1, size), 1001, 1002]}
     assert run(spark, texts) == without(texts, lost)
+
+
+def test_lines_that_differ_in_digits_only_recur(spark):
+    """Nothing else falls into their leaf; a line more there changes nothing."""
+    line = "Printed on page {} of this book"
+    texts = [(i, f"{'abcd'[i]} own\n{line.format(i + 10)}") for i in range(4)]
+    expected = {0: texts[0][1], 1: "b own", 2: "c own", 3: "d own"}
+    assert run(spark, texts) == expected
+    other = "Printed on page 7 with our best wishes"
+    assert run(spark, [*texts, (4, other)]) == {**expected, 4: other}
+    # Two documents are too few, and mostly variable lines are no template.
+    for texts in ([(i, line.format(i)) for i in (1, 2)], [(i, f"at {i} {i} {i}1 go") for i in (1, 2, 3)]):
+        assert run(spark, texts) == dict(texts)
+
+
+def test_one_line_is_a_template_where_equality_needs_more_documents(spark):
+    texts = [(i, f"{'abc'[i]}\nAll rights reserved by us") for i in range(3)]
+    assert run(spark, texts, min_equal=9) == {0: texts[0][1], 1: "b", 2: "c"}
