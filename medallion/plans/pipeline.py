@@ -116,8 +116,8 @@ def bronze(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
 def silver(spark: SparkSession, config: RunConfig) -> SilverReport:
     """Clean, check and enrich the raw tables.
 
-    The deduplication is the one wide step, so its result is computed once into scratch, and
-    the quality summary is observed while it is written.  What follows is row by row and
+    The deduplication is the one wide step, so its valid rows are computed once into scratch, and
+    the quality summary of all is observed on the way.  What follows is row by row and
     cheaper to repeat than to store: both published trip tables derive from there, and
     count their rows while they are written.  Nothing is replaced before the gate has passed.
     """
@@ -133,23 +133,21 @@ def silver(spark: SparkSession, config: RunConfig) -> SilverReport:
         judged = models.judge_trips(unique).observe(
             report, *summary_columns(preset.TRIP_FLAGS, valid=preset.VALID)
         )
-        stored = scratch.keep(judged.select(*unique.columns), "unique")
+        stored = scratch.keep(valid_only(judged, preset.VALID).select(*unique.columns), "unique")
         summary = require_valid(Row(**report.get), config.allow_empty)
         zones = publish_table(
             models.clean_zones(raw_zones), config.raw(SILVER_ZONES), config.provider
         )
         steps.add("zones", zones.count())
         steps.add("dedup_trips", summary["total_after_dedup"])
-        flagged = models.judge_trips(stored)
+        clean = models.judge_trips(stored)
         publish_table(
-            steps.watch("clean_trips", valid_only(flagged, preset.VALID)),
+            steps.watch("clean_trips", clean),
             config.raw(SILVER_TRIPS),
             config.provider,
             config.partition_by,
         )
-        enriched = models.enrich_trips(
-            valid_only(flagged, preset.VALID), zones, config.broadcast_bytes
-        )
+        enriched = models.enrich_trips(clean, zones, config.broadcast_bytes)
         publish_table(
             steps.watch("enriched_trips", enriched),
             config.raw(SILVER_ENRICHED),

@@ -210,6 +210,20 @@ def test_stored_trips_are_read_twice(spark, config, monkeypatch):
     assert [a[1] for a in actions if a[0] == "count"] == ["VendorID", "LocationID", "location_id"]
 
 
+def test_only_valid_trips_are_stored(spark, config, monkeypatch):
+    """The summary still covers the others."""
+    pipeline.bronze(spark, config)
+    stored = {}
+    keep = Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, name: stored.setdefault(name, keep(self, df, name)))
+    rows = []
+    publish = lambda df, name, *a, **k: rows.append(stored["unique"].count()) or publish_table(df, name, *a, **k)
+    monkeypatch.setattr(pipeline, "publish_table", publish)
+    report = pipeline.silver(spark, config)
+    assert rows == [4, 4, 4]
+    assert (report.summary.total_after_dedup, report.summary.total_invalid_cnt) == (5, 1)
+
+
 @pytest.fixture
 def new_york(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

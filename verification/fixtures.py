@@ -97,19 +97,24 @@ def trips(
     """
     if expressions is None and sf_dir in STORED:
         return spark.read.parquet(STORED[sf_dir])
-    copies = F.expr(
-        "explode(case l_orderkey % 50 when 0 then array(0, 1) when 1 then array(0, 2)"
-        " else array(0) end)"
-    )
+    return _made(_lines(spark, sf_dir), expressions or TRIPS)
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines with their orders."""
     lines = table(spark, sf_dir, "lineitem")
     # Orders grow with the data, so both sides are shuffled whatever the file sizes say.
     orders = table(spark, sf_dir, "orders").hint("merge")
-    made = ", ".join(_columns(expressions or TRIPS))
-    return (
-        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-        .withColumn("cp", copies)
-        .selectExpr(f"inline(array(struct({made})))")
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+
+
+def _made(lines: DataFrame, expressions: dict[str, str]) -> DataFrame:
+    copies = F.expr(
+        "explode(case l_orderkey % 50 when 0 then array(0, 1) when 1 then array(0, 2)"
+        " else array(0) end)"
     )
+    made = ", ".join(_columns(expressions))
+    return lines.withColumn("cp", copies).selectExpr(f"inline(array(struct({made})))")
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,15 +157,23 @@ def write_months(
 
     With ``odd`` the first month lacks the congestion fee and has the vendor id as integer.
     """
-    rows = trips(spark, sf_dir, {**TRIPS, **FILE_MONTH})
+    lines = _lines(spark, sf_dir).withColumns({n: F.expr(e) for n, e in FILE_MONTH.items()})
     if without:
-        rows = rows.filter(F.col("file_month") != without)
+        lines = lines.filter(F.col("file_month") != without)
     if odd:
         first = months(spark, sf_dir)[0]
-        early = rows.filter(F.col("file_month") == first).drop("cbd_congestion_fee", "file_month")
+        early = _made(lines.filter(F.col("file_month") == first), TRIPS).drop("cbd_congestion_fee")
         early.withColumn("VendorID", F.col("VendorID").cast("int")).write.parquet(f"{root}/file_month={first}")
-        rows = rows.filter(F.col("file_month") != first)
-    rows.hint("rebalance", "file_month").write.mode("append").partitionBy("file_month").parquet(root)
+        lines = lines.filter(F.col("file_month") != first)
+    trips_by_month(lines).write.mode("append").partitionBy("file_month").parquet(root)
+
+
+def trips_by_month(lines: DataFrame) -> DataFrame:
+    """Trips with their ``file_month``, collected by it.
+
+    The lines move before trips are made of them, which have twice the columns, and copies.
+    """
+    return _made(lines.hint("rebalance", "file_month"), {**TRIPS, "file_month": "file_month"})
 
 
 def write_zones(spark: SparkSession, sf_dir: str, path: str) -> None:
