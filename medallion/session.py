@@ -7,7 +7,8 @@ from pyspark.sql import SparkSession
 # Durations and dates are taken in the session zone, so it is fixed.  In UTC a zoneless
 # Parquet timestamp may be read as the timestamp all rules work on, which saves a costly
 # conversion at every use.  Timestamps are stored as micros because INT96 carries no
-# statistics to prune row groups by.
+# statistics to prune row groups by.  The JVM never compiles a method of more than 8000 bytes, and
+# generated code for tables this wide is larger: it is then left in smaller pieces.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -16,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
