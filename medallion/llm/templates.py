@@ -18,6 +18,7 @@ several are followed one by one.  Templates depend on counts, never on the order
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -55,6 +56,34 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("null"), *[F.col(c) for c in DOC])
 
 
+def _once(df: DataFrame, kept: Sequence[str], *made: Column) -> DataFrame:
+    """Columns out of a generator, so that no filter, join or lambda above repeats the expressions."""
+    return df.select(*kept, F.inline(F.array(F.struct(*made))))
+
+
+def _spaced_lines(docs: DataFrame, text_col: str, *kept: Column) -> DataFrame:
+    """(``kept``, pos, raw) of every line with a token; ``raw`` is the line with single blanks."""
+    whole = docs.select(*kept, F.col(text_col).alias("text"))  # what is kept is made once a document
+    names = [c for c in whole.columns if c != "text"]
+    lines = whole.select(*names, F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+    text = F.col("text")
+    uneven = reduce(Column.__or__, [text.contains(blank) for blank in UNEVEN])
+    trimmed = lines.withColumn("text", F.btrim("text", F.lit(BLANK_CHARS))).filter(text != "")
+    spaced = F.when(uneven, F.regexp_replace("text", BLANKS, " ")).otherwise(text)
+    return _once(trimmed, [*names, "pos"], spaced.alias("raw"))
+
+
+def _masked() -> Column:
+    """A line with its variable tokens replaced."""
+    return F.when(F.col("raw").rlike("[0-9]"), F.regexp_replace("raw", VARIABLE, FIELD)).otherwise(F.col("raw"))
+
+
+def masked_lines(docs: DataFrame, text_col: str) -> DataFrame:
+    """(mask, text) of every line with a token, as in ``parsed_lines``, and nothing else of it."""
+    made = _once(_spaced_lines(docs, text_col), [], _masked().alias("text"))
+    return _once(made, ["text"], F.xxhash64("text").alias("mask")).select("mask", "text")
+
+
 def parsed_lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
     """(doc_id, h, pos, line, mask, path, wild, text) of every line with a token.
 
@@ -62,20 +91,10 @@ def parsed_lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> Dat
     replaced, which is ``text``; ``path`` is that of its size and leading tokens, ``wild`` those with one
     leading token left open (null where that is variable anyhow).
     """
-    lines = docs.select(
-        F.col(id_col).alias("doc_id"), _text_hash(text_col).alias("h"), F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "text")
-    )
-    text = F.col("text")
-    uneven = reduce(Column.__or__, [text.contains(blank) for blank in UNEVEN])
-    trimmed = lines.withColumn("text", F.btrim("text", F.lit(BLANK_CHARS))).filter(text != "")
-    spaced = F.when(uneven, F.regexp_replace("text", BLANKS, " ")).otherwise(text)
-    # Out of generators, so that no filter or join above repeats the expressions.
-    once = lambda df, kept, *made: df.select(*kept, F.inline(F.array(F.struct(*made))))
-    raw = once(trimmed, [*DOC, "pos"], spaced.alias("raw"))
-    masked = F.when(F.col("raw").rlike("[0-9]"), F.regexp_replace("raw", VARIABLE, FIELD)).otherwise(F.col("raw"))
-    made = once(raw, [*DOC, "pos"], F.xxhash64("raw").alias("line"), masked.alias("text"))
+    raw = _spaced_lines(docs, text_col, F.col(id_col).alias("doc_id"), _text_hash(text_col).alias("h"))
+    made = _once(raw, [*DOC, "pos"], F.xxhash64("raw").alias("line"), _masked().alias("text"))
     size = F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" "), F.lit(""))) + 1
-    split = once(
+    split = _once(
         made, [*DOC, "pos", "line", "text"], size.alias("size"), F.split(F.substring_index("text", " ", depth), " ").alias("lead")
     )
 
@@ -190,7 +209,7 @@ def _templates(texts: DataFrame, single: DataFrame, several: DataFrame, depth: i
     ranked = F.sort_array(F.transform("parts", lambda p: p["n"]), asc=False)
     least = F.when(needed > 0, F.get(ranked, needed - 1)).otherwise(F.col("of_leaf"))
     constant = F.filter("parts", lambda p: p["n"] >= MIN_SHARE * F.col("least"))
-    return enough.withColumn("least", least).select(
+    return _once(enough, [*line, "parts"], least.alias("least")).select(
         *line, F.xxhash64(F.transform(constant, lambda p: F.struct(p["i"], p["field"]))).alias("template")
     )
 
@@ -217,7 +236,7 @@ def recurring_lines(
     candidates = _candidates(rows, min_docs, min_equal, scratch)
     single, several = _by_document(candidates, scratch)
     leaves = candidates.select("leaf", "mask", "open", "of_leaf").distinct()
-    said = _marked(parsed.select("mask", "text"), "mask", candidates).distinct()
+    said = _marked(masked_lines(docs, text_col), "mask", candidates).distinct()
     texts = scratch.keep(leaves.join(said, "mask"), "texts")
     templates = cut(_templates(texts, single, several, depth, min_docs, min_constant))
     by_template = cut(_recurring_templates(candidates, single, several, templates, min_docs))
@@ -252,25 +271,27 @@ def drop_recurring_lines(
     lines all go becomes empty.  ``length_col`` gets the new number of code points,
     ``dropped_col`` the number of lines taken out; it replaces a column of that name.
     """
-    own, id_, h, dropped = free_names(docs, "_own", "_id", "_h", "_dropped")
+    own, id_, h, dropped, lines = free_names(docs, "_own", "_id", "_h", "_dropped", "_lines")
     lost = recurring_lines(docs, id_col, text_col, depth, min_docs, min_constant, min_equal).select(
         F.col("doc_id").alias(id_), F.col("h").alias(h), F.col("dropped").alias(dropped)
     )
+    # Both sides grow with the documents, so neither is broadcast, whatever its size.
     joined = docs.withColumn(own, _text_hash(text_col)).join(
-        lost, same(F.col(id_col), F.col(id_)) & (F.col(own) == F.col(h)), "left"
+        lost.hint("merge"), same(F.col(id_col), F.col(id_)) & (F.col(own) == F.col(h)), "left"
     )
-    lines = F.split(F.col(text_col), "\n")
+    # The lines are split once a document, not once for each line that stays.
+    joined = _once(joined, ["*"], F.when(F.col(dropped).isNotNull(), F.split(F.col(text_col), "\n")).alias(lines))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(dropped))
     text = F.when(
         F.col(dropped).isNotNull(),
-        F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n"),
+        F.array_join(F.transform(left, lambda i: F.element_at(F.col(lines), i + 1)), "\n"),
     ).otherwise(F.col(text_col))
     changed = joined.withColumn(text_col, text)
     if length_col:
         changed = changed.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
     if dropped_col:
         changed = changed.withColumn(dropped_col, F.coalesce(F.size(dropped), F.lit(0)))
-    return changed.drop(own, id_, h, dropped)
+    return changed.drop(own, id_, h, dropped, lines)
 
 
 # The same over the table ``documents``, for DuckDB.

@@ -227,3 +227,28 @@ def test_lines_that_differ_in_digits_only_recur(spark):
 def test_one_line_is_a_template_where_equality_needs_more_documents(spark):
     texts = [(i, f"{'abc'[i]}\nAll rights reserved by us") for i in range(3)]
     assert run(spark, texts, min_equal=9) == {0: texts[0][1], 1: "b", 2: "c"}
+
+
+def test_lines_are_split_once_a_document_and_documents_never_broadcast(spark):
+    texts = [(i, f"{'abc'[i]}\nAll rights reserved by us") for i in range(3)]
+    made = templates.drop_recurring_lines(frame(spark, texts))
+    made.collect()
+    assert "element_at(split(" not in plan(made)
+    assert "SortMergeJoin" in plan(made) and not re.search("BroadcastHashJoin .*LeftOuter", plan(made))
+
+
+def test_the_second_reading_makes_nothing_but_masked_lines(spark):
+    texts = [(1, " by  Ann on 2024-01-01\t\n\n \r\nno digits here"), (2, None), (3, "a1 b\x0bc")]
+    read = templates.masked_lines(frame(spark, texts), "text")
+    parsed = templates.parsed_lines(frame(spark, texts), "doc_id", "text", 3).select("mask", "text")
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, parsed.collect())) and read.count() == 3
+    assert "substring_index" not in plan(read)
+
+
+def test_the_least_count_is_taken_once_a_line(spark):
+    texts = spark.createDataFrame([(1, 1, -1, 3, "a b c d e f")], "leaf long, mask long, open int, of_leaf long, text string")
+    places = texts.select("leaf", "mask", F.lit(3).cast("long").alias("n"))
+    several = texts.select("leaf", "mask", F.lit(1).alias("doc_id"), F.lit(1).alias("h"))
+    made = templates._templates(texts, places, several, 3, 3, 0.6)
+    assert made.count() == 1
+    assert not re.search(r"filter\(parts[^\n]*sort_array", plan(made))
