@@ -41,7 +41,7 @@ MIN_CONSTANT = 0.6
 MIN_SHARE = 0.5
 # A node with so many children has a wildcard child.
 MANY_CHILDREN = 3
-# Leaves are marked in this many buckets (a power of two), which bounds what is broadcast.
+# Keys are marked by a bit in one of this many words (a power of two), which bounds what is broadcast.
 MARKS = 1 << 20
 
 DOC = ["doc_id", "h"]
@@ -112,17 +112,26 @@ def parsed_lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> Dat
 def _marked(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     """Rows whose key is among ``wanted`` keys, and few others.
 
-    The keys are marked in a fixed number of buckets, so the broadcast is bounded; what a
-    neighbour's mark lets through is harmless, as an exact join follows.
+    The keys are marked by 64 bits in each of a fixed number of words, so the broadcast is bounded;
+    what a neighbour's mark lets through is harmless, as an exact join or count follows.
     """
-    bucket = lambda c: F.col(c).bitwiseAND(F.lit(MARKS - 1)).cast("int")
-    marks = cut(wanted.select(bucket(key).alias("_mark")).distinct().coalesce(8))
-    return df.withColumn("_mark", bucket(key)).join(F.broadcast(marks), "_mark", "left_semi").drop("_mark")
+    word = F.col(key).bitwiseAND(F.lit(MARKS - 1)).cast("int")
+    place = F.shiftrightunsigned(F.col(key), 58).cast("int")  # the word is told by the other end of the hash
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    words = wanted.select(word.alias("_mark"), bit.alias("_bit")).groupBy("_mark").agg(F.bit_or("_bit").alias("_bits"))
+    marks = F.broadcast(cut(words.coalesce(8)))
+    return df.withColumn("_mark", word).join(marks, "_mark").filter(F.col("_bits").bitwiseAND(bit) != 0).drop("_mark", "_bits")
 
 
-def _paths(rows: DataFrame) -> DataFrame:
-    """(path, wild, n): the documents that take each path."""
-    return rows.select("path", "wild", *DOC).distinct().groupBy("path", "wild").agg(F.count("*").alias("n"))
+def _paths(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(path, wild, n): the documents that take each path.
+
+    A path of one line has one document; only the lines of other paths move with their documents.
+    """
+    lines = scratch.keep(rows.groupBy("path", "wild").agg(F.count("*").alias("n")), "paths")
+    more = lines.filter(F.col("n") > 1).drop("n")
+    docs = _marked(rows.select("path", *DOC), "path", more).distinct().groupBy("path").agg(F.count("*").alias("n"))
+    return lines.filter(F.col("n") == 1).unionByName(cut(more.join(docs, "path")))
 
 
 def _open_paths(paths: DataFrame, min_docs: int) -> DataFrame:
@@ -132,9 +141,10 @@ def _open_paths(paths: DataFrame, min_docs: int) -> DataFrame:
     """
     children = paths.select("path", "n", F.posexplode("wild").alias("open", "leaf")).filter(F.col("leaf").isNotNull())
     nodes = children.groupBy("leaf").agg(F.count("*").alias("children"), F.sum("n").alias("docs"))
-    many = nodes.filter(F.col("children") >= MANY_CHILDREN)
+    many = cut(nodes.filter(F.col("children") >= MANY_CHILDREN))
     best = F.max_by(F.struct("leaf", "open"), F.struct("docs", -F.col("open")))
-    found = children.filter(F.col("n") < min_docs).join(many, "leaf").groupBy("path").agg(best.alias("best"))
+    few = _marked(children.filter(F.col("n") < min_docs), "leaf", many)
+    found = few.join(many, "leaf").groupBy("path").agg(best.alias("best"))
     return found.select("path", "best.leaf", "best.open")
 
 
@@ -144,7 +154,7 @@ def _candidates(rows: DataFrame, min_docs: int, min_equal: int, scratch: Scratch
     These are leaves of enough documents, but for those that hold one line word for word: this
     recurs by itself where ``min_equal`` documents are enough.
     """
-    paths = cut(_paths(rows))
+    paths = _paths(rows, scratch)
     opened = cut(_open_paths(paths, min_docs))
     # A line and its mask are the same text unless a token was replaced.
     few = rows.select(*DOC, "mask", "path", (F.col("line") != F.col("mask")).alias("varied"))
@@ -182,35 +192,40 @@ def _templates(texts: DataFrame, single: DataFrame, several: DataFrame, depth: i
     A line's tokens are judged against its own frequent part: of so many of them as must be
     constant, the least frequent one gives the number of documents a share is taken of.
     All lines that agree in their tokens of ``min_docs`` documents have the same number, so
-    the share only ever joins templates.
+    the share only ever joins templates.  A token at its position in a leaf is one hash, and so is a line.
+    ``texts`` may bring the ``n`` of ``single``; they are joined otherwise.
     """
-    line, at = ["leaf", "mask"], ["leaf", "i", "field"]
+    line = ["leaf", "mask"]
+    texts = texts if "n" in texts.columns else texts.join(single.select(*line, "n"), line, "left")
     fixed = lambda t: t != FIELD
     tokens = F.split("text", " ")
     leading = F.size(F.filter(F.slice(tokens, 1, depth), fixed)) - F.when(F.col("open") >= 0, 1).otherwise(0)
     later = F.transform(F.slice(tokens, depth + 1, F.size(tokens)), lambda t: F.when(fixed(t), F.xxhash64(t)))
-    heads = texts.select(*line, "of_leaf", F.size(tokens).alias("size"), leading.alias("leading"))
-    hashed = cut(texts.select(*line, later.alias("later")))
-    explode = lambda df, *kept: df.select(*kept, F.posexplode("later").alias("i", "field")).filter(F.col("field").isNotNull())
-    # Lines are joined before they are taken apart, so tokens are only shuffled to be counted.
-    once = explode(hashed.join(single.select(*line, "n"), line), "leaf", "n").groupBy(*at).agg(F.sum("n").alias("n"))
-    followed = explode(hashed.join(several, line), "leaf", *DOC).distinct().groupBy(*at).agg(F.count("*").alias("n"))
-    counts = once.unionByName(followed).groupBy(*at).agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs)
-    key = F.xxhash64(*at).alias("key")
-    counts = cut(counts.select(key, F.col("n")))
-    fields = explode(hashed, *line).select(*line, "i", "field", key)
-    parts = _marked(fields, "key", counts).join(counts, "key").groupBy(*line).agg(
-        F.sort_array(F.collect_list(F.struct("i", "field", "n"))).alias("parts")
+    id_ = F.xxhash64(*line).alias("id")
+    heads = texts.select(*line, id_, "of_leaf", F.size(tokens).alias("size"), leading.alias("leading"))
+    hashed = cut(texts.select(*line, "n", later.alias("later")))
+
+    def explode(df: DataFrame, *kept: str | Column) -> DataFrame:
+        fields = df.select("*", F.posexplode("later").alias("i", "field")).filter(F.col("field").isNotNull())
+        return fields.select(*kept, F.xxhash64("leaf", "i", "field").alias("key"))
+
+    # Only lines of documents with several are joined before they are taken apart; tokens are shuffled to be counted.
+    once = explode(hashed.filter(F.col("n").isNotNull()), "n").groupBy("key").agg(F.sum("n").alias("n"))
+    shared = _marked(hashed.drop("n"), "mask", several).join(several, line)
+    followed = explode(shared, *DOC).distinct().groupBy("key").agg(F.count("*").alias("n"))
+    counts = cut(once.unionByName(followed).groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs))
+    parts = _marked(explode(hashed, id_), "key", counts).join(counts, "key").groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("key", "n"))).alias("parts")
     )
-    none = F.array().cast("array<struct<i:int,field:bigint,n:bigint>>")
-    whole = heads.join(parts, line, "left").withColumn("parts", F.coalesce("parts", none))
+    none = F.array().cast("array<struct<key:bigint,n:bigint>>")
+    whole = heads.join(parts, "id", "left").withColumn("parts", F.coalesce("parts", none))
     enough = whole.filter(F.size("parts") + F.col("leading") >= min_constant * F.col("size"))
     needed = F.ceil(min_constant * F.col("size")).cast("int") - F.col("leading")
     ranked = F.sort_array(F.transform("parts", lambda p: p["n"]), asc=False)
     least = F.when(needed > 0, F.get(ranked, needed - 1)).otherwise(F.col("of_leaf"))
     constant = F.filter("parts", lambda p: p["n"] >= MIN_SHARE * F.col("least"))
     return _once(enough, [*line, "parts"], least.alias("least")).select(
-        *line, F.xxhash64(F.transform(constant, lambda p: F.struct(p["i"], p["field"]))).alias("template")
+        *line, F.xxhash64(F.transform(constant, lambda p: p["key"])).alias("template")
     )
 
 
@@ -235,13 +250,20 @@ def recurring_lines(
     rows = scratch.keep(parsed.drop("text"), "rows")
     candidates = _candidates(rows, min_docs, min_equal, scratch)
     single, several = _by_document(candidates, scratch)
-    leaves = candidates.select("leaf", "mask", "open", "of_leaf").distinct()
-    said = _marked(masked_lines(docs, text_col), "mask", candidates).distinct()
-    texts = scratch.keep(leaves.join(said, "mask"), "texts")
+    # One of a line's documents tells its text; only documents that tell one are taken apart again.
+    leaves = cut(candidates.groupBy("leaf", "mask", "open", "of_leaf").agg(F.min(F.xxhash64(*DOC)).alias("teller")))
+    counted = leaves.drop("teller").join(single.select("leaf", "mask", "n"), ["leaf", "mask"], "left")
+    keyed = docs.select(F.xxhash64(F.col(id_col), _text_hash(text_col)).alias("teller"), F.col(text_col).alias("text"))
+    tellers = _marked(keyed, "teller", leaves)
+    said = _marked(masked_lines(tellers, "text"), "mask", leaves).groupBy("mask").agg(F.min("text").alias("text"))
+    texts = scratch.keep(counted.join(said, "mask"), "texts")
     templates = cut(_templates(texts, single, several, depth, min_docs, min_constant))
     by_template = cut(_recurring_templates(candidates, single, several, templates, min_docs))
+    # A line that is there fewer times is in fewer documents.
+    often = rows.groupBy("line").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_equal)
     by_line = cut(
-        rows.select("line", *DOC).distinct().groupBy("line").agg(F.count("*").alias("_n"), F.min(_place()).alias("_first"))
+        _marked(rows.select("line", *DOC), "line", often).distinct()
+        .groupBy("line").agg(F.count("*").alias("_n"), F.min(_place()).alias("_first"))
         .filter(F.col("_n") >= min_equal).drop("_n")
     )
     placed = rows.select(*DOC, "pos", "line", "mask")

@@ -252,3 +252,21 @@ def test_the_least_count_is_taken_once_a_line(spark):
     made = templates._templates(texts, places, several, 3, 3, 0.6)
     assert made.count() == 1
     assert not re.search(r"filter\(parts[^\n]*sort_array", plan(made))
+
+
+def test_marks_tell_keys_of_one_word_apart(spark):
+    """As many keys as marks have words would leave next to nothing out otherwise."""
+    word = 12345
+    keys = [word + (i << 58) for i in range(-32, 32)]
+    df = spark.createDataFrame([(k,) for k in [*keys, word + 1, -1]], "key long")
+    wanted = spark.createDataFrame([(k,) for k in [*keys[::2], keys[0]]], "key long")
+    assert sorted(r.key for r in templates._marked(df, "key", wanted).collect()) == keys[::2]
+
+
+def test_paths_of_one_line_move_without_their_documents(spark):
+    """Documents are counted, of any number of lines and rows, but only moved for paths of several lines."""
+    texts = [(1, "a b c\na b c\nd e f"), (1, "a b c\na b c\nd e f"), (2, "a b c"), (None, "a b c"), (3, "g h i")]
+    rows = templates.parsed_lines(frame(spark, texts), "doc_id", "text", 3).drop("text")
+    paths = templates._paths(rows, templates.Scratch(spark, "paths"))
+    assert sorted(r.n for r in paths.collect()) == [1, 1, 3]
+    assert "doc_id" not in plan(paths)
