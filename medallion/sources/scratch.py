@@ -99,10 +99,10 @@ class Scratch:
     def location(self, name: str) -> str:
         return f"{self.path}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` below this folder and return it read back."""
+    def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """Write ``df`` below this folder, with these options of Parquet, and return it read back."""
         target = self.location(name)
-        df.write.parquet(target)
+        df.write.options(**options).parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
     def discard(self, name: str) -> None:

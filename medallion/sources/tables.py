@@ -18,7 +18,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.sources.scratch import delete_folder
+from medallion.sources.scratch import Scratch, delete_folder
 
 # The table property that says of which published name a table is a version.
 MARK = "medallion.version.of"
@@ -58,12 +58,15 @@ def publish_table(
     ``<name>__aside`` with its files, and never dropped.
 
     ``coalesce_to`` writes that many files, by as few tasks; partitions are dealt anew by
-    their value, so both together are refused.
+    their value, so both together are refused.  The rows are made by all tasks of ``df`` and
+    wait in scratch, so each of the few reads its share of compressed columns and no more.
     """
     if coalesce_to and partition_by:
         raise ValueError("coalesce_to fixes the number of files, partition_by deals them anew: give one")
     if coalesce_to:
-        df = df.coalesce(coalesce_to)
+        with Scratch(df.sparkSession, "files") as scratch:
+            gathered = _gathered(df, coalesce_to, scratch)
+            return publish_table(gathered, name, provider, properties=properties, keep_versions=keep_versions)
     if partition_by:
         # Collect each partition value in few files; the adaptive rebalance splits a
         # value that holds a large share of the rows over several tasks.
@@ -85,6 +88,17 @@ def publish_table(
     return df.sparkSession.table(name)
 
 
+def _gathered(df: DataFrame, files: int, scratch: Scratch) -> DataFrame:
+    """``df`` in that many partitions, all of which have rows if there are enough.
+
+    A table too small to fill them is moved row by row; that is less than a few splits of a scan.
+    """
+    kept = scratch.keep(df, "rows", compression="zstd")
+    few = kept.coalesce(files)
+    filled = few.select(F.spark_partition_id().alias("part")).distinct().count()
+    return few if filled == files else kept.repartition(files)
+
+
 def _described(spark: SparkSession, name: str) -> dict[str, str]:
     """The details of a table or view that ``DESCRIBE`` lists behind its columns."""
     return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}

@@ -6,9 +6,12 @@ import os
 
 import pytest
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from medallion.sources import tables
+from medallion.sources.scratch import Scratch, application_folder
 from medallion.sources.tables import list_tables, publish_table, unpublish, versions
+from tests.conftest import plan
 
 
 @pytest.fixture
@@ -142,3 +145,33 @@ def test_versions_are_known_and_dropped_whatever_the_name(spark, tmp_path, name)
         assert len(versions(spark, f"hidden.{name}")) == 1
     unpublish(spark, f"hidden.{name}")
     assert not [t for t in spark.catalog.listTables("hidden") if t.name.startswith(name)]
+
+
+def rows_by_file(table):
+    counted = table.groupBy(F.input_file_name().alias("file")).count().collect()
+    assert len(table.inputFiles()) == len(counted)
+    return sorted(r["count"] for r in counted)
+
+
+def test_rows_of_few_files_are_made_by_all_tasks(spark, layer):
+    task = F.expr("java_method('org.apache.spark.TaskContext', 'getPartitionId')")
+    df = spark.range(0, 1000, 1, 8).select(F.expr("nullif(id % 100, 7)").alias("id"), task.alias("task"))
+    table = publish_table(df, f"{layer}.t", coalesce_to=2)
+    assert table.select("task").distinct().count() == 8
+    assert len(rows_by_file(table)) == 2
+    got = sorted(r.id for r in table.filter("id is not null").collect())
+    assert got == sorted(i % 100 for i in range(1000) if i % 100 != 7) and table.count() == 1000
+    assert [f for f in os.listdir(application_folder(spark)) if f.startswith("files-")] == []
+
+
+def test_few_tasks_read_kept_columns_not_shuffled_rows(spark):
+    with Scratch(spark, "gather") as scratch:
+        assert "Exchange" not in plan(tables._gathered(spark.range(0, 1000, 1, 8), 2, scratch))
+
+
+@pytest.mark.parametrize("rows, parts, files", [(1000, 1, 3), (1000, 2, 5), (10, 40, 1), (0, 4, 1)])
+def test_as_many_files_as_asked_for(spark, layer, rows, parts, files):
+    table = publish_table(spark.range(0, rows, 1, parts), f"{layer}.t", coalesce_to=files)
+    assert len(table.inputFiles()) == files
+    assert ids(spark, f"{layer}.t") == list(range(rows))
+    assert not rows or len(rows_by_file(table)) == files

@@ -387,7 +387,7 @@ def file_reduction(spark, sf_dir):
     layer = f"files_{uuid.uuid4().hex[:8]}"
     ensure_layers(spark, [layer], Scratch(spark, "files").location("warehouse"))
     try:
-        lines = fixtures.table(spark, sf_dir, "lineitem").repartition(6)
+        lines = fixtures.table(spark, sf_dir, "lineitem")
         table = publish_table(lines, f"{layer}.lines", coalesce_to=2)
         return spark.createDataFrame([(table.count(), len(table.inputFiles()))], "rows bigint, files bigint")
     finally:
